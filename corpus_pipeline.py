@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chainlake.llm import decontam, langid, neardup
+from chainlake.llm import decontam, langid, linedup, neardup, packing
 from chainlake.llm.common import read, saved
 from chainlake.session import ship
 
@@ -17,6 +18,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated passages; documents of which nothing is left go."""
+    ship(spark)
+    cols = docs.columns
+    kept = linedup.dedup_lines(docs).where((F.col("deleted") == 0) | F.col("text").rlike(r"\S"))
+    changed = F.col("deleted") > 0
+    return kept.select(*[F.when(changed, F.length("text")).otherwise(F.col(c)).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in cols])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     ship(spark)
@@ -29,10 +39,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.keep_clean(docs, read(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents' token streams in sequences of at most 1024."""
+    ship(spark)
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", language),
+    ("line_dedup", line_dedup),
     ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
+    ("packing", pack),
 ]
 
 #: Learned rankings, sampled signatures and a tokenizer's ids are beyond SQL; tests hold the stages against brute force.
