@@ -159,20 +159,22 @@ def contamination(documents: DataFrame, benchmark: DataFrame, threshold: float =
     return out
 
 
+def _is_dirty(items: list[tuple[int, str]], threshold: float, min_match: int):
+    made: list[Index] = []
+
+    def dirty(texts: pd.Series) -> pd.Series:
+        if not made:
+            made.append(Index(items, min_match))
+        return pd.Series([bool(made[0].matches(t, threshold)) for t in texts], dtype=bool)
+
+    return F.pandas_udf(dirty, "boolean").asNondeterministic()
+
+
 def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, min_match: int = MIN_MATCH, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows that no item contaminates, all columns kept."""
-    cols = [F.col(c) for c in documents.columns]
     for items in _blocks(benchmark, block_chars):
-        made: list[Index] = []
-
-        @F.pandas_udf("boolean")
-        def dirty(texts: pd.Series, items=items, made=made) -> pd.Series:
-            if not made:
-                made.append(Index(items, min_match))
-            return pd.Series([bool(made[0].matches(t, threshold)) for t in texts], dtype=bool)
-
-        documents = documents.where(~dirty.asNondeterministic()("text"))
-    return documents.select(*cols)
+        documents = documents.where(~_is_dirty(items, threshold, min_match)("text"))
+    return documents
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
