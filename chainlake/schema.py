@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(), "array<string>": T.ArrayType(T.StringType())}
+
+
+def struct(text: str) -> T.StructType:
+    """A flat schema from "name type, ..."; needs no session, as importing this module must not."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (f.split() for f in text.split(", "))])
+
+
 PRODUCER_VERSION = SCHEMA_VERSION = SILVER_JOB_VERSION = AGGREGATION_VERSION = "1.0.0"
 
 #: A raw EVM log as JSON-RPC gives it.
-RAW_LOG = T.StructType.fromDDL("address string, topics array<string>, data string, blockNumber string, transactionHash string, transactionIndex string, blockHash string, logIndex string, removed boolean")
+RAW_LOG = struct("address string, topics array<string>, data string, blockNumber string, transactionHash string, transactionIndex string, blockHash string, logIndex string, removed boolean")
 
 #: A block's time, for enrichment.
-BLOCKS = T.StructType.fromDDL("block_number int, block_timestamp timestamp")
+BLOCKS = struct("block_number int, block_timestamp timestamp")
 
 #: All payload fields of all event types; an event fills its own.
-PAYLOAD = T.StructType.fromDDL(
+PAYLOAD = struct(
     "pool_address string, sender string, recipient string, owner string, tick_lower int, tick_upper int, amount string, amount0 string, "
     "amount1 string, sqrt_price_x96 string, liquidity string, tick int, raw_data string, raw_topics array<string>, contract_address string, "
     "reserve string, user string, on_behalf_of string, amount_raw string, interest_rate_mode int, borrow_rate_raw string, referral_code int, "
@@ -23,7 +31,7 @@ PAYLOAD = T.StructType.fromDDL(
 
 ENVELOPE = T.StructType(
     [
-        *T.StructType.fromDDL(
+        *struct(
             "protocol string, chain string, event_type string, block_number int, transaction_hash string, log_index int, block_timestamp timestamp, "
             "producer_version string, schema_version string, ingested_at timestamp"
         ).fields,
@@ -32,7 +40,7 @@ ENVELOPE = T.StructType(
 )
 
 #: A record as the Kafka source gives it.
-KAFKA = T.StructType.fromDDL("key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+KAFKA = struct("key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
 
 BRONZE_PARTITIONS = ["protocol", "chain", "event_type", "event_date"]
 

@@ -1,0 +1,23 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from chainlake.session import create_session, ship
+
+    session = create_session(
+        "tests",
+        **{"spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    ship(session)
+    yield session
+    session.stop()

@@ -1,0 +1,68 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from chainlake.functions.columns import compatible, event_id
+from chainlake.functions.wideint import wide_sum
+from chainlake.operators.dedup import latest
+from chainlake.sources import files
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 2**256 - 1)), max_size=12))
+def test_wide_sum_is_exact(spark, values):
+    rows = [(None if v is None else str(v),) for v in values]
+    found = spark.createDataFrame(rows, "x string").agg(wide_sum("x").alias("s")).first().s
+    known = [v for v in values if v is not None]
+    assert found == (str(sum(known)) if known else None)
+
+
+def test_wide_sum_refuses_text(spark):
+    with pytest.raises(PySparkException, match="not an unsigned integer"):
+        spark.createDataFrame([("12.7",)], "x string").agg(wide_sum("x")).collect()
+
+
+def test_latest_breaks_ties_in_order(spark):
+    rows = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 2, "c"), ("k", None, "z"), (None, 1, "n")], "key string, t int, v string")
+    assert sorted((r.key or "", r.v) for r in latest(rows, ["key"], ["t", "v"]).collect()) == [("", "n"), ("k", "c")]
+    assert latest(rows.limit(0), ["key"], ["t"]).count() == 0
+
+
+def test_compatible_and_ids(spark):
+    row = compatible(spark.createDataFrame([("c", "t", 1, 5)], "chain string, transaction_hash string, log_index int, ingested_at int"), ["chain", "bronze_file", "bronze_processed_at"]).first()
+    assert tuple(row) == ("c", "legacy", 5)
+    ids = spark.createDataFrame([("c", "t", 1), ("c", None, 1)], "chain string, transaction_hash string, log_index int").select(event_id().alias("e")).collect()
+    assert [r.e for r in ids] == ["c-t-1", None]
+
+
+def test_discovery_and_manifest(spark, tmp_path):
+    root = tmp_path / "bronze"
+    for name in ("b/part-2.parquet", "a/part-1.parquet", "a/.hidden.parquet", "_temporary/part-3.parquet", "a/notes.txt"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text("")
+    found = files.discover(spark, str(root))
+    assert [f.rsplit("bronze/", 1)[1] for f in found] == ["a/part-1.parquet", "b/part-2.parquet"]
+    assert files.discover(spark, str(tmp_path / "none")) == []
+    path = str(tmp_path / "manifest.json")
+    assert files.load_manifest(spark, path) == set()
+    files.save_manifest(spark, path, [files.manifest_entry(found[0], str(root))])
+    assert files.load_manifest(spark, path) == {"a/part-1.parquet"}
+    assert files.unprocessed(found, {"a/part-1.parquet"}, str(root)) == found[1:]
+    assert files.manifest_entry("/elsewhere/x.parquet", str(root)) == "/elsewhere/x.parquet"
+    assert {p.name for p in tmp_path.iterdir()} - {"bronze", "manifest.json"} <= {".manifest.json.crc"}
+    for bad in ('{"processed_files": "not-a-list"}', "[]", "{", '{"processed_files": [""]}'):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(ValueError, match="not a manifest"):
+            files.load_manifest(spark, str(tmp_path / "bad.json"))
+
+
+def test_publish_swaps_whole_tables(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert files.publish(spark.range(3), path) == 3
+    table = spark.read.parquet(path)
+    assert files.publish(table.union(table), path) == 6  # reads what it replaces
+    with pytest.raises(PySparkException):
+        files.publish(spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 6 and [p.name for p in tmp_path.iterdir()] == ["table"]
