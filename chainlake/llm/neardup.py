@@ -10,10 +10,13 @@ are linked, and classes are the connected components.
 * Texts of equal words are one node from the first aggregation on, however many copies there are.
 * A sample of a text is the shingle and quantised weight that minimise ln c - r (t - beta + 1), where r, c ~ Gamma(2, 1)
   and beta ~ U(0, 1) come from the shingle's hash (Ioffe 2010). BANDS bands of ROWS samples are the buckets.
-* No bucket is gathered in a task, and no bucket's pairs are listed. Each bucket names leaders by aggregation, and every member is
-  compared with these. Then, as long as a bucket holds several components, one leader of each of the first 1, 2, 4, 8 ... of
-  them is compared with all its members, until no pair is new.
-* Every pair is verified on its whole texts. Joins are on nodes or buckets, both sides shuffled unless the written
+* No bucket is gathered in a task, and no bucket's pairs are listed. First every member is compared with its bucket's most central
+  member, the one whose buckets are the largest (in a group of copies that is the text they were made from), and with the next two in
+  the order of signatures, in parts of PART members. That links nearly all there is to link. Then members of different components
+  that share a bucket are compared, which leaves no pair out: of two such members one is outside the bucket's largest component.
+* Pairs are tested by their samples, kept as 3 bits each, inside the join, and only likely ones leave it: 135 samples first, and 285 for those
+  members of different components, where a large group of copies that are less alike than the threshold would have most pairs near it.
+* Every such pair is verified on its whole texts. Joins are on nodes or buckets, both sides shuffled unless the written
   table is small, so that skewed ones are split at run time.
 
 Defined cases: texts without a word (null and empty too) are one class if their raw text is equal, null counting as empty; a
@@ -22,12 +25,12 @@ null doc_id sorts last, and a class of null ids has a null class_id; repeated ro
 
 from __future__ import annotations
 
-import re
 from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,33 +41,25 @@ from chainlake.llm.graph import components
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
+#: Samples are packed fifteen to a long, 3 bits and a free one each: so many longs for all texts, and for those of buckets with several components.
+PACK = 15
+LONGS, FINE = 9, 19
+PART, NEXT = 1000, 2
 BUCKETS = 1 << 16
 POOL = 1 << 16
+#: Pairs of fewer equal samples (one in eight is equal by chance) are not verified: at a similarity of 0.80, one in 10,000
+#: has so few of the first and six in 1000 of the second (at 0.82, one in 2000), besides the two in 1000 that share no band.
+#: Of members of different components the likeliest pairs come first, as they join most components.
+LEAST_EQUAL, LEAST_FINE = 93, (231, 219)
+#: Pairs that a task verifies.
+PAIRS = 2000
 #: Up to so many texts to verify, their keys are sent to the scan; more are joined by a shuffle.
 FEW_KEYS = 50_000
-_words = re.compile(r"\w+").findall
 _U64 = np.uint64
-
-
-class Hashes(dict):
-    """Word to its place in `hash`; at most `most` words are kept, as a corpus has no bound on them."""
-
-    def __init__(self, most: int = 400_000):
-        self.most, self.hash = most, np.empty(1024, np.uint64)
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        if n == len(self.hash):
-            self.hash = np.concatenate([self.hash, np.empty(n, np.uint64)])
-        self.hash[n] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return n
-
-    def of(self, text: str | None) -> np.ndarray:
-        if len(self) > self.most:
-            self.clear()
-        words = _words(text.lower()) if text else []
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.hash[at]
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_IN_WORD = np.array([i >= 128 or chr(i).isalnum() or i == 95 for i in range(256)])
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,16 +68,47 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, at least n of each."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, _INVERSE)):
+            _powers[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, base, np.uint64)]))
+    return _powers
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and where each text's words start (one place more than texts). Words are runs of ASCII
+    letters, digits, "_" and of characters beyond ASCII, in lower case. All texts at once: a word's hash is a difference of polynomial prefix sums."""
+    texts = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    if offsets[-1] == offsets[0]:
+        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside, edge = _IN_WORD[data], np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    start = np.flatnonzero(inside & (~before | edge[:-1]))
+    end = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    power, inverse = _powers_to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + _U64(1)) * power[: len(data)], out=sums[1:])
+    return _mix((sums[end] - sums[start]) * inverse[start]), np.searchsorted(start, offsets)
+
+
 def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of a text's shingles, and their weights."""
     k = min(WORDS, len(words))
     if not k:
         return np.empty(0, np.uint64), np.empty(0, np.float64)
-    n, h, w = len(words) - k + 1, np.zeros(len(words) - k + 1, np.uint64), np.zeros(len(words) - k + 1)
-    mean = idf[(words >> _U64(48)).astype(np.int64)]
-    for j in range(k):
-        h = _mix(h + words[j : j + n] + _U64(j + 1))
+    n = len(words) - k + 1
+    mean = idf[words >> _U64(48)]
+    h, w = words[:n].copy(), mean[:n].copy()
+    for j in range(1, k):
+        h = h * _U64(_BASE) + words[j : j + n]
         w += mean[j : j + n]
+    h = _mix(h)
     order = np.argsort(h)
     h = h[order]
     edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -92,25 +118,50 @@ def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Sampler:
     """Draws for each shingle hash come from a pool of POOL triples, at a place that depends on hash and sample."""
 
-    def __init__(self, samples: int = BANDS * ROWS):
+    def __init__(self, longs: int = LONGS):
+        samples = PACK * longs
         g = np.random.Generator(np.random.PCG64(20240501))
         self.r = g.gamma(2, 1, POOL).astype(np.float32)
         self.ln_c = np.log(g.gamma(2, 1, POOL)).astype(np.float32)
         self.beta = g.random(POOL).astype(np.float32)
-        self.step = (g.integers(1, 1 << 62, samples, dtype=np.uint64) << _U64(1)) | _U64(1)
-        self.samples = samples
-
-    def sign(self, h: np.ndarray, w: np.ndarray) -> bytes:
-        """32 bits for each sample: the same for two texts with the probability of their weighted Jaccard similarity."""
-        out = np.empty(self.samples, np.uint32)
-        ln_w = np.log(w).astype(np.float32)
-        for k in range(self.samples):
-            at = ((h * self.step[k]) >> _U64(48)).astype(np.int64)
-            r, beta = self.r[at], self.beta[at]
-            t = np.floor(ln_w / r + beta)
-            best = int((self.ln_c[at] - r * (t - beta + 1)).argmin())
-            out[k] = (int(h[best]) ^ (int(t[best]) * 0x9E3779B1)) & 0xFFFFFFFF
-        return out.tobytes()
+        self.step = ((g.integers(1, 1 << 62, samples, dtype=np.uint64) << _U64(1)) | _U64(1))[:, None]
+        self.rows = np.arange(samples)
+
+    def sample(self, h: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Samples of 64 bits; each is the same for two texts with the probability of their weighted Jaccard similarity."""
+        ln_w, least, which, level = np.log(w).astype(np.float32), None, None, None
+        for at in range(0, len(h), 2048):  # long texts in parts, to stay in the cache
+            place = h[None, at : at + 2048] * self.step
+            place >>= _U64(48)
+            place = place.view(np.int64)
+            r, beta = self.r.take(place, mode="clip"), self.beta.take(place, mode="clip")
+            t = ln_w[None, at : at + 2048] / r
+            t += beta
+            np.floor(t, out=t)
+            key = self.ln_c.take(place, mode="clip")  # ln c - r (t - beta + 1), the last two terms added up before
+            np.subtract(t, beta, out=beta)
+            beta += np.float32(1)
+            beta *= r
+            key -= beta
+            best = key.argmin(axis=1)
+            low, own, steps = key[self.rows, best], h[at + best], t[self.rows, best]
+            if least is None:
+                least, which, level = low, own, steps
+            else:
+                less = low < least
+                least, which, level = np.where(less, low, least), np.where(less, own, which), np.where(less, steps, level)
+        return _mix(which + level.astype(np.int64).astype(np.uint64) * _U64(_BASE))
+
+
+def band_hashes(samples: np.ndarray) -> np.ndarray:
+    out = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for part in samples[: BANDS * ROWS].reshape(BANDS, ROWS).T:
+        out = _mix(out * _U64(_BASE) + part)
+    return out.view(np.int64)
+
+
+def packed(samples: np.ndarray) -> np.ndarray:
+    return ((samples.reshape(-1, PACK) >> _U64(61)) << (_U64(4) * np.arange(PACK, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -121,14 +172,12 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, counts, docs = Hashes(), np.zeros(BUCKETS, np.int64), 0
-    seen = np.zeros(BUCKETS, bool)
+    counts, docs = np.zeros(BUCKETS, np.int64), 0
     for b in slices(batches):
-        for text in b.column(0).to_pylist():
-            seen[:] = False
-            seen[(cache.of(text) >> _U64(48)).astype(np.int64)] = True
-            counts += seen
-            docs += 1
+        words, at = words_of(b.column(0))
+        owner = np.repeat(np.arange(b.num_rows, dtype=np.uint64), np.diff(at))
+        counts += np.bincount((np.unique((owner << _U64(16)) | (words >> _U64(48))) & _U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        docs += b.num_rows
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], docs))], ["bucket", "n"])
 
@@ -145,44 +194,80 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(id, raw, node, sig) of each row: `node` is 128 bits of the words, `raw` of the text; `sig` is null without words."""
+    """(id, raw, node, bands, sig) of each row: `node` is 128 bits of the words, `raw` 64 of the text; the others are null without words."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler()
+        for b in slices(batches):
+            nodes, bands, sigs = [], [], []
+            words, at = words_of(b.column(2))
+            for i, (lo, hi) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+                if lo < hi:
+                    nodes.append(xxhash.xxh3_128_digest(words[lo:hi].tobytes(), 1))
+                    samples = sampler.sample(*shingles(words[lo:hi], idf))
+                    band, sig = band_hashes(samples), packed(samples)
+                else:
+                    nodes.append(xxhash.xxh3_128_digest((b.column(2)[i].as_py() or "").encode("utf-8", "surrogatepass"), 2))
+                    band = sig = None
+                bands.append(band)
+                sigs.append(sig)
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(bands, longs), pa.array(sigs, longs)], ["id", "raw", "node", "bands", "sig"])
+
+    return docs.mapInArrow(sign, "id long, raw long, node binary, bands array<long>, sig array<long>")
+
+
+def _fine(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """texts(node, text) to (node, fine), a signature of more samples."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, sampler = Hashes(), Sampler()
+        sampler = Sampler(FINE)
         for b in slices(batches):
-            nodes, sigs = [], []
-            for text in b.column(2).to_pylist():
-                words = cache.of(text)
-                nodes.append(xxhash.xxh3_128_digest(words.tobytes(), 1) if len(words) else xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"), 2))
-                sigs.append(sampler.sign(*shingles(words, idf)) if len(words) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())], ["id", "raw", "node", "sig"])
+            words, at = words_of(b.column(1))
+            sigs = [packed(sampler.sample(*shingles(words[lo:hi], idf))) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigs, pa.list_(pa.int64()))], ["node", "fine"])
+
+    return texts.mapInArrow(sign, "node binary, fine array<long>")
+
+
+def _equal(a: str, b: str, longs: int) -> F.Column:
+    """Equal samples of two packed signatures: three bits of the difference are 0, or adding 7 sets the fourth."""
+    ones, tops = F.lit(0x0777777777777777), F.lit(0x0888888888888888)
+    return F.lit(PACK * longs) - sum(F.bit_count((F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) + ones).bitwiseAND(tops)) for i in range(longs))
+
+
+def _ordered(a: str, b: str) -> list[F.Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
 
-    return docs.mapInArrow(sign, "id long, raw long, node binary, sig binary")
+def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of nodes(node, id, raw), written; one row a node."""
+    few = nodes.count() <= FEW_KEYS
+    return saved(docs.join(F.broadcast(nodes) if few else nodes, ["id", "raw"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
     """The pairs (u, v) whose whole texts are similar."""
-    keys = saved(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes, "node").select("node", "id", "raw"), "keys")
-    few = keys.count() <= FEW_KEYS
-    texts = saved(docs.join(F.broadcast(keys) if few else keys, ["id", "raw"]).select("node", "text"), "texts").dropDuplicates(["node"])
+    texts = _texts(saved(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes, "node").select("node", "id", "raw"), "keys"), docs)
     both = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("tu")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("tv")), "v")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, known = Hashes(), OrderedDict()
+        known: OrderedDict[bytes, tuple[np.ndarray, np.ndarray]] = OrderedDict()
 
-        def of(node: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+        def of(node: bytes, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
             if node not in known:
-                known[node] = shingles(cache.of(text), idf)
+                known[node] = shingles(words_of(pa.array([text.as_py()], pa.string()))[0], idf)
                 if len(known) > 64:
                     known.popitem(last=False)
             return known[node]
 
         for b in slices(batches):
-            u, v, tu, tv = (c.to_pylist() for c in b.columns)
+            u, v, (tu, tv) = b.column(0).to_pylist(), b.column(1).to_pylist(), b.columns[2:]
             keep = [weighted_jaccard(of(u[i], tu[i]), of(v[i], tv[i])) >= threshold for i in range(len(u))]
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("u", "v", "tu", "tv").mapInArrow(check, "u binary, v binary")
+    tasks = -(-pairs.count() // PAIRS)  # few bytes, but much to compute: not to be coalesced by size
+    return both.select("u", "v", "tu", "tv").repartition(tasks).mapInArrow(check, "u binary, v binary")
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -192,32 +277,40 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     idf = inverse_frequencies(docs)
     rows = saved(_signatures(docs, idf), "signatures")
     first = F.min(F.struct("id", "raw")).alias("first")
-    nodes = saved(rows.groupBy("node").agg(first, F.first("sig").alias("sig")).select("node", "first.id", "first.raw", "sig"), "nodes")
-    bands = F.explode(F.array(*[F.xxhash64(F.lit(j), F.substring("sig", 1 + 4 * ROWS * j, 4 * ROWS)) for j in range(BANDS)]))
-    members = nodes.where("sig IS NOT NULL").select("node", bands.alias("bucket"))
-    tail = F.substring("node", 9, 8)
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.min(F.struct(tail, "node")).getField("node").alias("b")).where("n > 1")
+    nodes = saved(rows.groupBy("node").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig")).select("node", "first.id", "first.raw", "bands", "sig"), "nodes")
+    members = nodes.where("sig IS NOT NULL").select("node", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = saved(members.join(shared, "bucket"), "members")
-    pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    pairs = members.select(F.explode(F.array("a", "b")).alias("lead"), "node").where("lead <> node").select(*pair("lead", "node"))
-    pairs = saved(pairs.distinct(), "pairs")
-    tried, links, parts, step = pairs, pairs.limit(0), None, 1
-    while True:
-        if not pairs.isEmpty():
-            links = links.unionByName(saved(_verified(pairs, nodes, docs, idf, threshold), "verified"))
-            parts = components(links)
-        if parts is None:
-            break
-        placed = saved(members.join(parts.select(F.col("u").alias("node"), F.col("v").alias("part")), "node", "left").select("bucket", "node", F.coalesce("part", "node").alias("part")), "placed")
-        heads = placed.groupBy("bucket", "part").agg(F.min("node").alias("lead"))  # a row for each component, not for each member
-        several = saved(heads.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1"), "several")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("lead"))
-        heads = heads.join(several, "bucket").withColumn("rank", rank).where(F.col("rank") <= step).select("bucket", F.col("part").alias("of"), "lead")
-        fresh = placed.join(heads, "bucket").where("part <> of").select(*pair("lead", "node")).distinct()
-        pairs = saved(fresh.join(tried, ["u", "v"], "left_anti"), "pairs")
-        if step >= (several.agg(F.max("parts")).first()[0] or 0) and pairs.isEmpty():
-            break
-        tried, step = tried.unionByName(pairs), step * 2
+    central = members.groupBy("node").agg(F.sum("n").alias("score")).join(nodes.select("node", "sig"), "node")
+    members = saved(members.join(central, "node").select("bucket", "n", F.struct("score", "node", "sig").alias("m")), "members")
+
+    heads = members.groupBy("bucket").agg(F.max("m").alias("lead"))
+    # a large bucket is dealt to as many tasks as it has parts
+    follow = Window.partitionBy("bucket", F.pmod(F.xxhash64("m.node"), F.ceil(F.col("n") / PART).cast("long"))).orderBy("m.sig", "m.node")
+    neighbours = members.select("m", *[F.lead("m", k).over(follow).alias(f"m{k}") for k in range(1, NEXT + 1)])
+    neighbours = neighbours.select("m", F.explode(F.array(*[f"m{k}" for k in range(1, NEXT + 1)])).alias("lead")).where(F.col("lead").isNotNull() & (_equal("m.sig", "lead.sig", LONGS) >= LEAST_EQUAL)).select(*_ordered("m.node", "lead.node"))
+    x, y, same = members.alias("x"), heads.alias("y"), F.col("x.bucket") == F.col("y.bucket")
+    to_heads = x.join(y, same & (F.col("m.node") != F.col("lead.node")) & (_equal("m.sig", "lead.sig", LONGS) >= LEAST_EQUAL)).select(*_ordered("m.node", "lead.node"))
+    pairs = saved(to_heads.union(neighbours).distinct(), "pairs")
+    links = parts = None
+    if not pairs.isEmpty():
+        links = saved(_verified(pairs, nodes, docs, idf, threshold), "links")
+        parts = components(links)
+        members, fine = members.select("bucket", "m.node"), None
+        for least in LEAST_FINE:
+            part = parts.select(F.col("u").alias("node"), F.col("v").alias("part"))
+            placed = saved(members.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "placed")
+            largest = placed.groupBy("bucket", "part").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+            placed = placed.join(largest.select("bucket", F.col("largest.part").alias("largest")), "bucket")
+            if fine is None:
+                fine = saved(_fine(_texts(saved(placed.select("node").distinct().join(nodes, "node").select("node", "id", "raw"), "keys"), docs), idf), "fine")
+            placed = saved(placed.join(fine, "node"), "placed")
+            x, y = placed.alias("x"), placed.where("part <> largest").alias("y")
+            likely = same & (F.col("x.part") != F.col("y.part")) & (_equal("x.fine", "y.fine", FINE) >= least)
+            rest = saved(x.join(y, likely).select(*_ordered("x.node", "y.node")).distinct().join(pairs, ["u", "v"], "left_anti"), "pairs")
+            if not rest.isEmpty():
+                links = links.unionByName(saved(_verified(rest, nodes, docs, idf, threshold), "links"))
+                parts, pairs = components(links), pairs.unionByName(rest)
     out = nodes.select("node", "id", "raw")
     if parts is None:
         out = out.withColumn("class", F.col("node"))
