@@ -119,7 +119,7 @@ def _without(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.DataF
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns, text without its later copies, and `deleted`, the number of lines that went."""
     later = repeated_runs(documents, min_words).select(F.col("id").alias("__id"), F.col("raw").alias("__raw"), F.col("runs").alias("__runs"))
-    joined = documents.withColumns({"__id": row_id(), "__raw": _raw()}).join(later, ["__id", "__raw"], "left")
+    joined = documents.withColumns({"__id": row_id(), "__raw": _raw()}).join(later.hint("merge"), ["__id", "__raw"], "left")  # runs grow with the corpus: the same plan at every size
     without = F.pandas_udf(_without, "text string, deleted int").asNondeterministic()
     new = joined.withColumn("__new", without("text", "__runs.s", "__runs.n"))
     return new.select(*[F.col("__new.text").alias("text") if c == "text" else F.col(c) for c in documents.columns if c != "deleted"], F.col("__new.deleted").alias("deleted"))
