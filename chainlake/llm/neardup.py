@@ -14,6 +14,8 @@ are linked, and classes are the connected components.
   member, the one whose buckets are the largest (in a group of copies that is the text they were made from), and with the next two in
   the order of signatures, in parts of PART members. That links nearly all there is to link. Then members of different components
   that share a bucket are compared, which leaves no pair out: of two such members one is outside the bucket's largest component.
+* A bucket of more than HOT members, say of a line that very many short texts share, is split by further bands, so that it takes more than
+  one common passage to be compared.
 * Pairs are tested by their samples, kept as 3 bits each, inside the join, and only likely ones leave it: 135 samples first, and 285 for those
   members of different components, where a large group of copies that are less alike than the threshold would have most pairs near it.
 * Every such pair is verified on its whole texts. Joins are on nodes or buckets, both sides shuffled unless the written
@@ -45,6 +47,8 @@ BANDS, ROWS = 12, 4
 PACK = 15
 LONGS, FINE = 9, 19
 PART, NEXT = 1000, 2
+#: A bucket of more members is split by BANDS further bands, from samples of their own.
+HOT = 5000
 BUCKETS = 1 << 16
 POOL = 1 << 16
 #: Pairs of fewer equal samples (one in eight is equal by chance) are not verified: at a similarity of 0.80, one in 10,000
@@ -154,8 +158,9 @@ class Sampler:
 
 
 def band_hashes(samples: np.ndarray) -> np.ndarray:
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for part in samples[: BANDS * ROWS].reshape(BANDS, ROWS).T:
+    """The hashes of BANDS bands, and of as many further ones."""
+    out = np.arange(1, 2 * BANDS + 1, dtype=np.uint64)
+    for part in samples[: 2 * BANDS * ROWS].reshape(2 * BANDS, ROWS).T:
         out = _mix(out * _U64(_BASE) + part)
     return out.view(np.int64)
 
@@ -183,14 +188,15 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """The weight of each word bucket, from all texts: BUCKETS numbers whatever the corpus."""
+    """The weight of each word bucket, from all texts: BUCKETS numbers whatever the corpus. From 1 for a word that all have to 2 for a rare
+    one, so that a few rare words cannot outweigh what two texts share."""
     out, docs_n = np.zeros(BUCKETS), 0
     for r in docs.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         if r.bucket < 0:
             docs_n = r.n
         else:
             out[r.bucket] = r.n
-    return 1 + np.log((1 + docs_n) / (1 + out))
+    return 1 + np.log((1 + docs_n) / (1 + out)) / np.log(2 + docs_n)
 
 
 def _signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -278,11 +284,18 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     rows = saved(_signatures(docs, idf), "signatures")
     first = F.min(F.struct("id", "raw")).alias("first")
     nodes = saved(rows.groupBy("node").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig")).select("node", "first.id", "first.raw", "bands", "sig"), "nodes")
-    members = nodes.where("sig IS NOT NULL").select("node", F.explode("bands").alias("bucket"))
+    signed = nodes.where("sig IS NOT NULL")
+    members = signed.select("node", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = saved(members.join(shared, "bucket"), "members")
+    hot = members.where(F.col("n") > HOT)
+    if not hot.isEmpty():  # each member in the further bands too: what is alike shares one of them, what just has a line in common seldom does
+        further = signed.select("node", F.explode(F.slice("bands", BANDS + 1, BANDS)).alias("further"))
+        split = saved(hot.drop("n").join(further, "node").withColumn("bucket", F.xxhash64("bucket", "further")).drop("further"), "split")
+        shared = split.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        members = members.where(F.col("n") <= HOT).unionByName(split.join(shared, "bucket").select(*members.columns))
     central = members.groupBy("node").agg(F.sum("n").alias("score")).join(nodes.select("node", "sig"), "node")
-    members = saved(members.join(central, "node").select("bucket", "n", F.struct("score", "node", "sig").alias("m")), "members")
+    members = saved(members.join(central, "node").select("band", "bucket", "n", F.struct("score", "node", "sig").alias("m")), "members")
 
     heads = members.groupBy("bucket").agg(F.max("m").alias("lead"))
     # a large bucket is dealt to as many tasks as it has parts
@@ -296,17 +309,18 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     if not pairs.isEmpty():
         links = saved(_verified(pairs, nodes, docs, idf, threshold), "links")
         parts = components(links)
-        members, fine = members.select("bucket", "m.node"), None
+        members, fine = members.select("band", "bucket", "m.node"), None
+        once = ~F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))  # in the first bucket that both are in
         for least in LEAST_FINE:
             part = parts.select(F.col("u").alias("node"), F.col("v").alias("part"))
             placed = saved(members.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "placed")
             largest = placed.groupBy("bucket", "part").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
             placed = placed.join(largest.select("bucket", F.col("largest.part").alias("largest")), "bucket")
             if fine is None:
-                fine = saved(_fine(_texts(saved(placed.select("node").distinct().join(nodes, "node").select("node", "id", "raw"), "keys"), docs), idf), "fine")
+                fine = saved(_fine(_texts(saved(placed.select("node").distinct().join(nodes, "node").select("node", "id", "raw"), "keys"), docs), idf).join(nodes.select("node", "bands"), "node"), "fine")
             placed = saved(placed.join(fine, "node"), "placed")
             x, y = placed.alias("x"), placed.where("part <> largest").alias("y")
-            likely = same & (F.col("x.part") != F.col("y.part")) & (_equal("x.fine", "y.fine", FINE) >= least)
+            likely = same & (F.col("x.part") != F.col("y.part")) & (_equal("x.fine", "y.fine", FINE) >= least) & once
             rest = saved(x.join(y, likely).select(*_ordered("x.node", "y.node")).distinct().join(pairs, ["u", "v"], "left_anti"), "pairs")
             if not rest.isEmpty():
                 links = links.unionByName(saved(_verified(rest, nodes, docs, idf, threshold), "links"))
@@ -336,7 +350,7 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     gone = saved(rows.select("id", "raw").join(heads, ["id", "raw"], "left_anti").distinct(), "gone")
     cols = [F.col(c) for c in documents.columns]
     keyed = documents.select(*cols, row_id().alias("__id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__raw"))
-    kept = keyed.join(gone.select(F.col("id").alias("__id"), F.col("raw").alias("__raw")), ["__id", "__raw"], "left_anti")
+    kept = keyed.join(gone.select(F.col("id").alias("__id"), F.col("raw").alias("__raw")).hint("merge"), ["__id", "__raw"], "left_anti")
     if not rows.groupBy("id", "raw").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["__id", "__raw"])
     return kept.select(*cols)

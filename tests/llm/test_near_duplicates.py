@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cases import frame, row, sentences
 from chainlake.llm import graph, neardup
@@ -91,8 +92,10 @@ def test_classes_of_the_small_table_are_the_brute_ones(spark):
     assert sum(r.kept for r in found) == len(grouped(found))
 
 
-def test_a_large_group(spark):
+@pytest.mark.parametrize("hot", [neardup.HOT, 20])
+def test_a_large_group(spark, monkeypatch, hot):
     """Two hundred copies of one text, each with its own small changes: one class, though most pairs are less alike than the threshold."""
+    monkeypatch.setattr(neardup, "HOT", hot)
     rng = random.Random(11)
     base = " ".join(sentences(rng, 20)).split()
     rows = [row(0, " ".join(base))]
