@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 #: Sorts after every real id; stands for a null one inside the operators.
 NO_ID = 2**63 - 1
@@ -30,7 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete this application's scratch tables, once results that read them are written elsewhere; how many there were."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs, p = filesystem(spark, path)
+        fs.delete(p, True)
+    return len(paths)
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
