@@ -47,9 +47,9 @@ SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 NOT_MAIN = frozenset("head nav footer aside form script style noscript template iframe button select option textarea title svg dialog menu".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 NOT_MAIN_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer "
-    "header login masthead menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies reply "
-    "search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar".split()
+    "ad ads adsbygoogle adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr "
+    "header login mainnav masthead menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies reply "
+    "search share sharing sidebar sidenav signup skip social sponsor sponsored subnav subscribe toolbar topbar topnav".split()
 )
 #: Of these, the words that wrappers of a whole page bear as well; an article or main element inside ends their effect.
 WRAPPER_WORDS = frozenset("header menu nav navbar navigation notice notices sidebar footer search".split())
