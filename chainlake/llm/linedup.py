@@ -93,6 +93,7 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     interval = ["n", "rank_s", "rank_e"]
     placed = saved(placed.select(*KEY, "s", *interval), "placed")
     heads = placed.groupBy(*interval).agg(F.min(F.struct(*KEY, "s")).alias("head"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    heads = saved(heads, "heads")  # read again, so that the join shuffles for itself and can split a hot interval
     later = placed.join(heads, interval).where(F.struct(*KEY, "s") != F.col("head"))
     return saved(later.groupBy(*KEY).agg(F.collect_list(F.struct("s", "n")).alias("runs")), "later")
 
