@@ -172,7 +172,7 @@ def unpacked(data: bytes) -> bytes:
 
 
 def _write(rows: DataFrame, path: str, end: str, records: int) -> None:
-    rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+    rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
