@@ -19,6 +19,7 @@ row; other columns are ignored. Sequence ids are unique, and the same for the sa
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -47,28 +48,37 @@ def default_paths() -> tuple[str, str]:
 
 
 class Encoder:
+    """Ids of a text and its closing 0. The tokenizer itself is loaded when a text needs it, as it takes more memory than all the rest."""
+
     def __init__(self, tokenizer: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._slow = Tokenizer.from_file(tokenizer)
+        with open(tokenizer, encoding="utf-8") as f:
+            whole = json.load(f)
+        own = whole["added_tokens"]
+        if whole["pre_tokenizer"]["type"] != "ByteLevel" or whole["normalizer"] or set(whole["model"]["vocab"].values()) | {t["id"] for t in own} != set(table.values()) | {t["id"] for t in own}:
+            raise ValueError(f"{ranks} and {tokenizer} are different vocabularies")
+        self._path, self._slow, self._special = tokenizer, None, [t["content"] for t in own]
         self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self._special = [t.content for t in self._slow.get_added_tokens_decoder().values()]
-        self.ends = np.zeros(max(self._slow.get_vocab_size(), len(table)) + 1, bool)
+        self.ends = np.zeros(max(max(table.values()), *(t["id"] for t in own)) + 1, bool)
         for token, i in table.items():
             self.ends[i] = token.rstrip(b" ")[-1:] in (b".", b"!", b"?", b"\n")
-        probe = "A probe: naïve café, 3.14!\n\n  it's  two   lines "
-        if self._fast.encode_ordinary(probe) != self._slow.encode(probe, add_special_tokens=False).ids:
-            raise ValueError(f"{ranks} and {tokenizer} are different vocabularies")
+
+    def _exact(self, text: str) -> list[int]:
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+        return self._slow.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(1, np.uint32)
         if any(s in text for s in self._special):
-            ids = self._slow.encode(text, add_special_tokens=False).ids
+            ids = self._exact(text)
         else:
             ids = self._fast.encode_ordinary(text)
         out = np.zeros(len(ids) + 1, np.uint32)
