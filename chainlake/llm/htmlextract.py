@@ -1,14 +1,19 @@
 """Main text of web pages by deduced templates: equivalence classes of tokens with the same occurrence vector (after EXALG).
 
 The pages of a host are taken as filled-in copies of a template. A token is a tag with its path, or the text of a node with its path. Its
-occurrence vector says how often each of the host's pages has it. Vectors are never built: each page adds a 64-bit mix of its id and
+occurrence vector says how often each of the host's pages has it. Vectors are never built: each page adds a 64-bit mix of its html's hash and
 the token's count to a sum, equal sums stand for equal vectors, and the sums are aggregated before and after the shuffle. So
 a host with a third of all pages costs a row for each of its tokens and task, like any other.
 
-Tokens of equal vectors that occur in at least `support` of a host's pages form its classes. A class is valid if it has a tag, as a template's words
-come with its markup; tags nest in one another by their paths, and so do the classes. The tags of the valid classes are the template, and their text
-tokens its own words (labels of menus, notices, footers), whatever element holds them. What stands between is slots of data: words that
-merely many pages share have a vector that no tag has, and stay data. A slot is part of the main text if it lies in the article (the article or main element, or else the body) and
+Equal html counts once per host. Tokens of equal vectors that occur in at least `support` of a host's pages form its classes, if there is a tag among
+them, as a template's words come with its markup. Each page is then read again with its host's classes, a tag being two symbols, its start and its
+end. A class is ordered if its symbols come in the same order in every instance on every page; symbols that do not, leave it. Two classes are nested
+if no instance of one has parts in two gaps of an instance of the other that it does not lie in as a whole; of two that cross, the larger
+stays. The classes left are the template, and their text tokens its own words (labels of menus, notices, footers). What lies in the gaps between their
+symbols is slots: of other classes, and of data. Words that merely many pages share have a vector that no tag has, and stay data.
+
+Text in an article or main element is not the template's for being once on every page, and where no page has text outside its classes,
+the pages are copies of one text, which stays. Data is part of the main text if it lies in the article (the article or main element, or else the body) and
 no element around it is for menus, headers, footers, sidebars, adverts, forms, comments, scripts or styles, by tag or by the words of
 its class, id or role.
 
@@ -18,7 +23,7 @@ What a host keeps is bounded by its page size: tokens in at least `support` of t
 Blocks are what block-level tags separate; white space in a block is one space; blocks are joined by a line end in page order.
 
 Defined cases: null and empty html give an empty text; broken markup is read as far as it goes, an unclosed element ending with its parent;
-a null url is a host of its own; repeated rows are the same page seen twice; whole pages are read, however long.
+a null url is a host of its own; repeated rows and equal pages of a host count once, and all get their text; whole pages are read, however long.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import NO_ID, read, saved, slices
+from chainlake.llm.common import read, saved, slices
 from chainlake.llm.urlfilter import split_url
 
 SUPPORT, LEAST_PAGES = 0.5, 8
@@ -154,15 +159,26 @@ def _host(url: str | None) -> str:
     return split_url(url)[0]
 
 
+def _key(html: str | None) -> int:
+    return xxhash.xxh64_intdigest((html or "").encode("utf-8", "surrogatepass"))
+
+
+def _distinct(pages: DataFrame) -> DataFrame:
+    """host and html of the pages, equal ones of a host once. Only those that occur again are shuffled with their html."""
+    keyed = pages.select(host_of("url").alias("host"), "html", F.md5(F.coalesce("html", F.lit(""))).alias("key"))
+    again = saved(keyed.groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1").select("host", "key"), "copies")
+    single, copies = keyed.join(again, ["host", "key"], "left_anti"), keyed.join(again, ["host", "key"], "left_semi")
+    return single.unionByName(copies.groupBy("host", "key").agg(F.first("html").alias("html"))).select("host", "html")
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each slice's sums by host and token; the host's number of pages under token 0."""
     for b in slices(batches, 512):
         found: dict[tuple[str, int], list[int]] = {}
-        for page_id, url, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            host = _host(url)
+        for host, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
             tokens = Counter(token for kind, token, _, text in parse(page) if kind == "open" or kind == "text" and not text.isspace())
             tokens[0] = 1
-            seed = NO_ID if page_id is None else page_id
+            seed = _key(page)
             for token, n in tokens.items():
                 mix = xxhash.xxh64_intdigest(b"%d %d" % (seed, n))
                 entry = found.setdefault((host, token), [0, 0])
@@ -173,26 +189,111 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([hosts, *map(pa.array, columns)], ["host", "token", "vector", "pages"])
 
 
+#: What _structure tells of a host: the rank of a tag's start or a text, of a tag's end, two classes that cross, that there is data.
+START, END, CROSS, DATA = range(4)
+
+
+def structure(page: str | None, classes: dict[int, int], sizes: dict[int, int]) -> tuple[dict[tuple[int, int], int], set[tuple[int, int]], bool]:
+    """Of one page: the rank of each symbol in its class (-1 if it is not always the same), the pairs of classes that cross, and whether
+    there is text outside the classes. classes: token to class; sizes: symbols of each class, a tag being two."""
+    ranks: dict[tuple[int, int], int] = {}
+    seen: Counter[int] = Counter()
+    crossed: set[tuple[int, int]] = set()
+    data, inside = False, []  # classes with an instance begun and not ended, innermost last
+    for kind, token, node, text in parse(page):
+        if kind == "text" and text.isspace():
+            continue
+        c = classes.get(token)
+        if c is None:
+            data = data or kind == "text" and not node.other
+            continue
+        symbol, rank = (token, END if kind == "close" else START), seen[c] % sizes[c]
+        if ranks.setdefault(symbol, rank) != rank:
+            ranks[symbol] = -1
+        seen[c] += 1
+        if rank == 0:
+            inside.append(c)
+        elif inside[-1] != c:
+            crossed.update((min(c, x), max(c, x)) for x in inside[inside.index(c) + 1 :])
+        if rank == sizes[c] - 1:
+            inside.remove(c)
+    return ranks, crossed, data
+
+
+def _structure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """structure() of each slice's pages, put together by host: (host, side, token, lo, hi)."""
+    last: tuple[object, dict[int, int], dict[int, int]] = (None, {}, {})
+    for b in slices(batches):
+        found: dict[tuple[str, int, int], list[int]] = {}
+        cross: set[tuple[str, int, int]] = set()
+        for host, page, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            if host != last[0]:
+                classes = {m["token"] & (2**64 - 1): m["vector"] for m in members.as_py()}
+                sizes: Counter[int] = Counter()
+                for token, c in classes.items():
+                    sizes[c] += 1 if token & 1 else 2
+                last = (host, classes, sizes)
+            ranks, crossed, data = structure(page, last[1], last[2])
+            for (token, side), rank in ranks.items():
+                entry = found.setdefault((host, side, token), [rank, rank])
+                entry[0], entry[1] = min(entry[0], rank), max(entry[1], rank)
+            cross.update((host, x, y) for x, y in crossed)
+            if data:
+                found[host, DATA, 0] = [1, 1]
+        keys = [*found, *((host, CROSS, x & (2**64 - 1)) for host, x, _ in cross)]
+        bounds = np.array([*found.values(), *((y, y) for _, _, y in cross)], np.int64).reshape(-1, 2)
+        tokens = np.array([k[2] for k in keys], np.uint64).view(np.int64)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), *map(pa.array, (tokens, bounds[:, 0].copy(), bounds[:, 1].copy()))]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "side", "token", "lo", "hi"])
+
+
+def nested(members: list[tuple[int, int]], crossed: list[tuple[int, int]]) -> dict[int, list[int]]:
+    """The classes that nest, with their tokens: of (token, class) those with a tag, larger ones first, that cross none taken before."""
+    classes: dict[int, list[int]] = {}
+    for token, c in members:
+        classes.setdefault(c, []).append(token)
+    against: dict[int, set[int]] = {}
+    for x, y in crossed:
+        against.setdefault(x, set()).add(y)
+        against.setdefault(y, set()).add(x)
+    taken: dict[int, list[int]] = {}
+    for c in sorted(classes, key=lambda c: (-len(classes[c]), c)):
+        if any(token % 2 == 0 for token in classes[c]) and not against.get(c, set()) & taken.keys():
+            taken[c] = classes[c]
+    return taken
+
+
 def templates(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, tokens): the text and tag tokens that valid classes of each host hold, written."""
+    """(host, members, crossed, root, data), written: the ordered (token, class) of each host, the classes that cross, the class of what
+    every page has once, and whether the pages have text beside their classes."""
     wrap = lambda c: F.pmod(c, F.lit(2**62).cast("decimal(38,0)"))
+    pages = _distinct(pages)
     sums = pages.mapInArrow(_sums, "host string, token long, vector long, pages long")
     sums = sums.groupBy("host", "token").agg(wrap(F.sum(F.col("vector").cast("decimal(38,0)"))).cast("long").alias("vector"), F.sum("pages").alias("pages"))
     sums = saved(sums.where((F.col("pages") >= least_pages * support) | (F.col("token") == 0)), "token-sums")
-    size = sums.where("token = 0").select("host", F.col("pages").alias("all")).where(F.col("all") >= least_pages)
+    size = sums.where("token = 0").select("host", F.col("pages").alias("all"), F.col("vector").alias("root")).where(F.col("all") >= least_pages)
     wide = sums.where("token <> 0").join(size, "host").where(F.col("pages") >= support * F.col("all"))
-    classes = wide.groupBy("host", "vector").agg(F.collect_set("token").alias("tokens"), F.bool_or(F.col("token") % 2 == 0).alias("valid")).where("valid")
-    return saved(classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens")), "templates")
-
-
-def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text of one page. template: the tokens of its host's valid classes."""
+    classes = wide.groupBy("host", "root", "vector").agg(F.collect_set("token").alias("tokens"), F.bool_or(F.col("token") % 2 == 0).alias("valid")).where("valid")
+    member = F.explode("tokens").alias("token")
+    members = saved(classes.select("host", "root", "vector", member), "members")
+    by_host = saved(members.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")), "classes")
+    found = saved(pages.join(by_host, "host").select("host", "html", "members").mapInArrow(_structure, "host string, side int, token long, lo long, hi long").groupBy("host", "side", "token", F.when(F.col("side") == CROSS, F.col("lo")).alias("other")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "structure")
+    ordered = found.where(F.col("side") <= END).groupBy("host", "token").agg(F.bool_and((F.col("lo") == F.col("hi")) & (F.col("lo") >= 0)).alias("ordered")).where("ordered").select("host", "token")
+    crossed = found.where(F.col("side") == CROSS).groupBy("host").agg(F.collect_list(F.struct(F.col("token").alias("a"), F.col("other").alias("b"))).alias("crossed"))
+    data = found.where(F.col("side") == DATA).select("host", F.lit(True).alias("data"))
+    known = members.join(ordered, ["host", "token"]).groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members"), F.first("root").alias("root"))
+    return saved(known.join(crossed, "host", "left").join(data, "host", "left").withColumn("data", F.coalesce("data", F.lit(False))), "templates")
+
+
+def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(), root: frozenset[int] | set[int] = frozenset()) -> str:
+    """The main text of one page. template: the tokens of its host's valid classes; root: those that every page has once, which are not
+    the template's in an article or main element."""
     events = list(parse(page))
     in_article = any(node.article and not node.other for kind, _, node, _ in events if kind == "open")
     blocks: list[list[str]] = [[]]
     for kind, token, node, text in events:
         if kind == "text":
-            if not node.other and (node.article or not in_article) and token not in template:
+            if not node.other and (node.article or not in_article) and token not in template and (node.article or token not in root):
                 blocks[-1].append(text)
         elif node.name not in INLINE:
             if blocks[-1]:
@@ -209,17 +310,24 @@ def extract(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEAST
     known = templates(p, support, least_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[object, frozenset[int]] = (None, frozenset())
+        last: tuple[object, frozenset[int], frozenset[int]] = (None, frozenset(), frozenset())
         for b in slices(batches):
             texts = []
-            for page, tokens, name in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+            for page, name, members, crossed, root, data in zip(*(b.column(k).to_pylist() if k < 4 else b.column(k) for k in range(2, 8)), strict=True):
                 if name != last[0]:
-                    last = (name, frozenset(t & (2**64 - 1) for t in tokens or ()))
-                texts.append(main_text(page, last[1]))
+                    last = (name, *_template(members.as_py(), crossed.as_py(), root.as_py(), data.as_py()))
+                texts.append(main_text(page, last[1], last[2]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     keyed = p.withColumn("host", host_of("url"))
-    return keyed.join(known, "host", "left").select("page_id", "url", "html", "tokens", "host").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return keyed.join(known, "host", "left").select("page_id", "url", "html", "host", "members", "crossed", "root", "data").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+
+
+def _template(members: list[dict] | None, crossed: list[dict] | None, root: int | None, data: bool | None) -> tuple[frozenset[int], frozenset[int]]:
+    """The tokens of a host's template without and with those that every page has once. Where no page has data, these are copies of one text."""
+    taken = nested([(m["token"], m["vector"]) for m in members or ()], [(x["a"], x["b"]) for x in crossed or ()])
+    once = taken.pop(root, []) if root is not None else []
+    return frozenset(t & (2**64 - 1) for ts in taken.values() for t in ts), frozenset(t & (2**64 - 1) for t in once if data)
 
 
 def host_of(url: str) -> F.Column:

@@ -83,3 +83,27 @@ def test_hosts_agree(spark):
     urls = ["http://A.com/x", "https://a.com?b", "a.com", None, "x://h#/y", "://", "http://a:80/"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", h.host_of("url").alias("host")).collect()
     assert {r.url: r.host for r in rows} == {u: h._host(u) for u in urls}
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    """Equal pages are no template, nor are articles that differ in nothing but what is around them."""
+    copies = h.extract(site(spark, 12, lambda i: "<html><body><div><p>the words</p></div></body></html>")).collect()
+    assert [r.text for r in copies] == ["the words"] * 12
+    near = h.extract(site(spark, 12, lambda i: f"<html><body><article><p>the words</p></article><p>seen {i}</p><footer>{i}</footer></body></html>")).collect()
+    assert [r.text for r in near] == ["the words"] * 12
+    bare = h.extract(site(spark, 12, lambda i: f"<html><body><div><p>the words</p></div><footer>{i}</footer></body></html>")).collect()
+    assert [r.text for r in bare] == ["the words"] * 12
+    half = h.extract(site(spark, 20, lambda i: "<div><table><tr><td>the words</table></div>" if i < 11 else f"<p>own {i}</p>")).collect()
+    assert {r.page_id: r.text for r in half} == {i: "the words" if i < 11 else f"own {i}" for i in range(20)}
+
+
+def test_classes_are_ordered_and_nested(spark):
+    """Labels in changing order are not one class; a class that crosses a larger one is not the template's."""
+    pages = site(spark, 20, lambda i: f"<body><div>{'one<hr>two' if i % 2 else 'two<hr>one'}</div><div>fixed</div><p>own {i}</p></body>")
+    found = {r.page_id: r.text for r in h.extract(pages).collect()}
+    assert found == {i: ("one\ntwo" if i % 2 else "two\none") + f"\nown {i}" for i in range(20)}
+    page = "<p>a</p><i>b</i><p>c</p><i>d</i>"
+    p, a, i, b, c, d = (next(t for k, t, n, x in h.parse(page) if (k, x or n.name) == w) for w in [("open", "p"), ("text", "a"), ("open", "i"), ("text", "b"), ("text", "c"), ("text", "d")])
+    ranks, crossed, data = h.structure(page, {a: 1, c: 1, b: 2, d: 2}, {1: 2, 2: 2})
+    assert ranks == {(a, 0): 0, (c, 0): 1, (b, 0): 0, (d, 0): 1} and crossed == {(1, 2)} and not data
+    assert set(h.nested([(2, 1), (3, 1), (5, 1), (4, 2), (7, 2)], [(1, 2)])) == {1}
