@@ -28,8 +28,11 @@ FOLDS = 5
 UND = "und"
 #: Profiles are held by every task; a label set larger than this is not one of languages.
 MAX_LANGUAGES = 4096
-#: The pipeline rejects a document below this score: its ranking has next to nothing in common with any profile.
+#: The pipeline rejects a document below this score whatever was learned: its ranking has next to nothing in common with any profile.
 MIN_SCORE = 0.02
+#: Least scores are learned from so many labelled texts or more, by language and LENGTHS classes of length, and lie half-way from what
+#: texts get by other languages' profiles (the median) to what all but LOW of them get by their own.
+LEAST_TEXTS, LENGTHS, LOW = 100, 3, 0.02
 
 _alpha: np.ndarray | None = None
 
@@ -111,18 +114,79 @@ class Profiles:
         for i, lang in enumerate(self.langs):
             self.ranks[i, np.searchsorted(self.codes, model[lang])] = np.arange(len(model[lang]))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and score: 1 less the distance as a share of the largest that is possible."""
+    def distances(self, text: str | None) -> tuple[np.ndarray, int]:
+        """The distance from each language's profile, and the number of ranked grams; none of either for a text without letters."""
         grams = ranked(*gram_counts(text), self.k)
         if not len(grams) or not self.langs:
-            return UND, 0.0
+            return np.empty(0, np.int64), 0
         at = np.searchsorted(self.codes, grams)
         at[at == len(self.codes)] = 0
         at[self.codes[at] != grams] = len(self.codes)
         ranks = self.ranks[:, at]
-        away = np.where(ranks < 0, self.k, np.abs(ranks - np.arange(len(grams)))).sum(axis=1)
+        return np.where(ranks < 0, self.k, np.abs(ranks - np.arange(len(grams)))).sum(axis=1), len(grams)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """Language and score: 1 less the distance as a share of the largest that is possible."""
+        return self._best(*self.distances(text))
+
+    def _best(self, away: np.ndarray, n: int) -> tuple[str, float]:
+        if not n:
+            return UND, 0.0
         best = int(away.argmin())
-        return self.langs[best], float(1 - away[best] / (self.k * len(grams)))
+        return self.langs[best], float(1 - away[best] / (self.k * n))
+
+    def known(self, text: str | None, least: Least, min_score: float) -> bool:
+        """Whether the language is recognised: the score is min_score and the learned least one of language and length, or more."""
+        away, n = self.distances(text)
+        lang, score = self._best(away, n)
+        return lang != UND and score >= max(min_score, least.of(lang, _length(n, self.k)))
+
+
+def _length(n: int, k: int) -> int:
+    """The class of length of a text of n ranked grams; the last one is of full rankings."""
+    return n * LENGTHS // k
+
+
+class Least:
+    """Least scores by language and class of length; None stands for all. What has too few texts goes by all languages of
+    that length, by the language at any length, or by all texts, the first of these that has enough."""
+
+    def __init__(self, found: dict[tuple[str | None, int | None], float]):
+        self.found = found
+
+    def of(self, lang: str, length: int) -> float:
+        return next((self.found[k] for k in ((lang, length), (None, length), (lang, None), (None, None)) if k in self.found), 0.0)
+
+
+def least_scores(labelled: DataFrame, model: dict[str, list[int]], profile: int = PROFILE) -> Least:
+    """From labelled(lang, text), all of it: each text's score by its own language's profile and the best one by another's, which is what a
+    language gets that no label teaches. Scores are counted by thousandths, so quantiles are exact to that and of bounded size."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = Profiles(model, profile)
+        place = {lang: i for i, lang in enumerate(profiles.langs)}
+        counts: dict[tuple[str, int, bool, int], int] = {}
+        for b in slices(batches):
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                away, n = profiles.distances(text)
+                if not n or lang not in place:
+                    continue
+                own = int(away[place[lang]])
+                other = np.delete(away, place[lang])
+                for foreign, x in ((False, own), *([(True, int(other.min()))] if len(other) else [])):
+                    key = lang, _length(n, profile), foreign, round(1000 * (1 - x / (profile * n)))
+                    counts[key] = counts.get(key, 0) + 1
+        columns = list(zip(*counts, strict=True)) or [()] * 4
+        types = pa.string(), pa.int32(), pa.bool_(), pa.int32()
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types, strict=True)), pa.array(counts.values(), pa.int64())], ["lang", "length", "other", "score", "n"])
+
+    counts = labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(score, "lang string, length int, other boolean, score int, n long")
+    counts = counts.groupBy("lang", "length", "other", "score").agg(F.sum("n").alias("n"))
+    at = lambda other, q: F.percentile(F.when(F.col("other") == other, F.col("score")), q, F.col("n")) / 1000
+    found = {}
+    for r in counts.cube("lang", "length").agg(F.sum(F.when(~F.col("other"), F.col("n"))).alias("n"), at(False, LOW).alias("own"), at(True, 0.5).alias("foreign")).where(F.col("n") >= LEAST_TEXTS).toLocalIterator():
+        found[r.lang, r.length] = min(r.own, (r.own + (r.foreign or 0.0)) / 2)
+    return Least(found)
 
 
 def predictor(model: dict[str, list[int]], profile: int = PROFILE):
@@ -152,10 +216,19 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def keep_known(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows whose language is recognised: neither `und` nor below min_score."""
-    predict = predictor(train(documents.where(fold() != 0)))
+    """The rows whose language is recognised: neither `und` nor below min_score or the least score that the labelled texts teach."""
+    labelled = documents.where(fold() != 0)
+    model = train(labelled)
+    least, made = least_scores(labelled, model), []
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        if not made:
+            made.append(Profiles(model))
+        return pd.Series([made[0].known(t, least, min_score) for t in texts], dtype=bool)
+
     cols = [F.col(c) for c in documents.columns]
-    return documents.select(*cols, predict("text").alias("__p")).where((F.col("__p.lang_pred") != UND) & (F.col("__p.score") >= min_score)).select(*cols)
+    return documents.where(known.asNondeterministic()("text")).select(*cols)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

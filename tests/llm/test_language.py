@@ -78,3 +78,22 @@ def test_lang_is_no_input(spark):
     held = [i for i in range(40) if __import__("zlib").crc32(str(i).encode()) % 5 == 0]
     changed = [row(r[0], r[1], "zz" if r[0] in held else r[2]) for r in rows]
     assert {r.lang_pred for r in langid.identify(frame(spark, changed)).collect()} == {"en"}
+
+
+def test_only_taught_languages_are_kept(spark):
+    """Languages that no label teaches and letter junk go; whole texts and short pieces of the taught languages stay."""
+    rng = random.Random(5)
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hóa ban cho lý trí.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. the of and",
+        *("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n)) for n in (120, 2000)),
+        *(" ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 9))) for _ in range(100)) for a in ("bcdfghjklmnpqrstvwxz", "abcdefghijklmnopqrstuvwxyz")),
+    ]
+    docs = spark.read.parquet(DOCS).select("doc_id", "text", "lang")
+    texts = duckdb.sql(f"SELECT doc_id, text FROM '{DOCS}'").fetchall()
+    short = [" ".join(t.split()[:n]) for _, t in texts[:40] for n in (10, 25)]
+    extra = [(10**6 + i, t, None) for i, t in enumerate(foreign)] + [(2 * 10**6 + i, t, None) for i, t in enumerate(short)]
+    kept = {r.doc_id for r in langid.keep_known(docs.unionByName(spark.createDataFrame(extra, docs.schema))).collect()}
+    assert kept == {d for d, _ in texts} | {2 * 10**6 + i for i in range(len(short))}
