@@ -14,8 +14,8 @@ are linked, and classes are the connected components.
   member, the one whose buckets are the largest (in a group of copies that is the text they were made from), and with the next two in
   the order of signatures, in parts of PART members. That links nearly all there is to link. Then members of different components
   that share a bucket are compared, which leaves no pair out: of two such members one is outside the bucket's largest component.
-* A bucket of more than HOT members, say of a line that very many short texts share, is split by further bands, so that it takes more than
-  one common passage to be compared.
+* The members of a bucket of more than HOT, say of a line that very many short texts share, are also put into the buckets that it makes with each of
+  their further bands, which links more of them at first. The second comparison is of the whole bucket, dealt to tasks in blocks of HOT by HOT.
 * Pairs are tested by their samples, kept as 3 bits each, inside the join, and only likely ones leave it: 135 samples first, and 285 for those
   members of different components, where a large group of copies that are less alike than the threshold would have most pairs near it.
 * Every such pair is verified on its whole texts. Joins are on nodes or buckets, both sides shuffled unless the written
@@ -47,7 +47,7 @@ BANDS, ROWS = 12, 4
 PACK = 15
 LONGS, FINE = 9, 19
 PART, NEXT = 1000, 2
-#: A bucket of more members is split by BANDS further bands, from samples of their own.
+#: A bucket of more members gets others beside it by BANDS further bands, from samples of their own, and is compared in blocks of so many.
 HOT = 5000
 BUCKETS = 1 << 16
 POOL = 1 << 16
@@ -288,12 +288,12 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     members = signed.select("node", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = saved(members.join(shared, "bucket"), "members")
-    hot = members.where(F.col("n") > HOT)
-    if not hot.isEmpty():  # each member in the further bands too: what is alike shares one of them, what just has a line in common seldom does
+    whole, hot = members, members.where(F.col("n") > HOT)
+    if not hot.isEmpty():  # each member in the further bands too: what is alike most likely shares one of them
         further = signed.select("node", F.explode(F.slice("bands", BANDS + 1, BANDS)).alias("further"))
         split = saved(hot.drop("n").join(further, "node").withColumn("bucket", F.xxhash64("bucket", "further")).drop("further"), "split")
         shared = split.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        members = members.where(F.col("n") <= HOT).unionByName(split.join(shared, "bucket").select(*members.columns))
+        members = members.unionByName(split.join(shared, "bucket").select(*members.columns))
     central = members.groupBy("node").agg(F.sum("n").alias("score")).join(nodes.select("node", "sig"), "node")
     members = saved(members.join(central, "node").select("band", "bucket", "n", F.struct("score", "node", "sig").alias("m")), "members")
 
@@ -309,18 +309,22 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     if not pairs.isEmpty():
         links = saved(_verified(pairs, nodes, docs, idf, threshold), "links")
         parts = components(links)
-        members, fine = members.select("band", "bucket", "m.node"), None
+        members, fine = whole.select("band", "bucket", "node"), None
         once = ~F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))  # in the first bucket that both are in
         for least in LEAST_FINE:
             part = parts.select(F.col("u").alias("node"), F.col("v").alias("part"))
             placed = saved(members.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "placed")
-            largest = placed.groupBy("bucket", "part").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-            placed = placed.join(largest.select("bucket", F.col("largest.part").alias("largest")), "bucket")
+            largest = placed.groupBy("bucket", "part").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+            blocks = [F.ceil(c / HOT).cast("int").alias(k) for k, c in (("rows", F.col("all")), ("columns", F.col("all") - F.col("largest.size")))]
+            placed = placed.join(largest.select("bucket", F.col("largest.part").alias("largest"), *blocks), "bucket")
             if fine is None:
                 fine = saved(_fine(_texts(saved(placed.select("node").distinct().join(nodes, "node").select("node", "id", "raw"), "keys"), docs), idf).join(nodes.select("node", "bands"), "node"), "fine")
             placed = saved(placed.join(fine, "node"), "placed")
-            x, y = placed.alias("x"), placed.where("part <> largest").alias("y")
-            likely = same & (F.col("x.part") != F.col("y.part")) & (_equal("x.fine", "y.fine", FINE) >= least) & once
+            own = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+            every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+            x = placed.withColumn("row", own("rows")).withColumn("column", every("columns")).alias("x")
+            y = placed.where("part <> largest").withColumn("column", own("columns")).withColumn("row", every("rows")).alias("y")
+            likely = same & (F.col("x.row") == F.col("y.row")) & (F.col("x.column") == F.col("y.column")) & (F.col("x.part") != F.col("y.part")) & (_equal("x.fine", "y.fine", FINE) >= least) & once
             rest = saved(x.join(y, likely).select(*_ordered("x.node", "y.node")).distinct().join(pairs, ["u", "v"], "left_anti"), "pairs")
             if not rest.isEmpty():
                 links = links.unionByName(saved(_verified(rest, nodes, docs, idf, threshold), "links"))

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cases import frame, row, sentences
 from chainlake.llm import graph, neardup
@@ -112,6 +113,25 @@ def test_a_large_group(spark, monkeypatch, hot):
     assert len([r for r in found if r.class_id == 0]) >= 170
 
 
+def test_a_hot_bucket_is_compared_whole(spark, monkeypatch):
+    """Members of a large bucket that share no further band are compared all the same, as are those that share an ordinary bucket after it."""
+    monkeypatch.setattr(neardup, "HOT", 20)
+    sign = neardup._signatures
+    apart = F.expr(f"concat(slice(bands, 1, {neardup.BANDS}), transform(sequence(1, {neardup.BANDS}), i -> xxhash64(node, i)))")
+    monkeypatch.setattr(neardup, "_signatures", lambda docs, idf: sign(docs, idf).withColumn("bands", apart))
+    rng = random.Random(13)
+    base = " ".join(sentences(rng, 20)).split()
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.randint(3, 9)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        rows.append(row(i, " ".join(words)))
+    docs = frame(spark, rows)
+    found = neardup.near_duplicates(docs).collect()
+    assert grouped(found) == brute_classes([(r[0], r[1]) for r in rows], neardup.inverse_frequencies(docs))
+
+
 def test_edges(spark):
     found = neardup.near_duplicates(frame(spark)).collect()
     by = {r.doc_id: r.class_id for r in found}
