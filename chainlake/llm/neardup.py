@@ -27,6 +27,7 @@ null doc_id sorts last, and a class of null ids has a null class_id; repeated ro
 
 from __future__ import annotations
 
+import math
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -51,10 +52,8 @@ PART, NEXT = 1000, 2
 HOT = 5000
 BUCKETS = 1 << 16
 POOL = 1 << 16
-#: Pairs of fewer equal samples (one in eight is equal by chance) are not verified: at a similarity of 0.80, one in 10,000
-#: has so few of the first and six in 1000 of the second (at 0.82, one in 2000), besides the two in 1000 that share no band.
-#: Of members of different components the likeliest pairs come first, as they join most components.
-LEAST_EQUAL, LEAST_FINE = 93, (231, 219)
+#: Pairs at the threshold that have fewer equal samples than least_equal says, this share of them, are not verified. The bands miss more: two in 1000 at 0.80.
+MISS = 1e-4
 #: Pairs that a task verifies.
 PAIRS = 2000
 #: Up to so many texts to verify, their keys are sent to the scan; more are joined by a shuffle.
@@ -176,6 +175,17 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(low / high) if high else 1.0
 
 
+def least_equal(threshold: float, longs: int, miss: float = MISS) -> int:
+    """The most equal samples, of so many longs, that all but a share `miss` of the pairs at the threshold have at least: a sample of 3 bits
+    is equal for the similarity, or in one case of eight by chance."""
+    n, p, below = PACK * longs, threshold + (1 - threshold) / 8, 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * p**k * (1 - p) ** (n - k)
+        if below > miss:
+            return k
+    return n
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, docs = np.zeros(BUCKETS, np.int64), 0
     for b in slices(batches):
@@ -278,7 +288,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarr
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Written tables: (id, raw, node) of each row, and (node, id, raw, class) of each different text, where id and raw name its
-    first row and class is a node that stands for the class."""
+    first row and class is a node that stands for the class. A threshold under THRESHOLD is refused, as the bands would miss much of it."""
+    if not THRESHOLD <= threshold <= 1:
+        raise ValueError(f"the bands are made for similarities from {THRESHOLD} to 1, not for a threshold of {threshold}")
+    least_coarse = least_equal(threshold, LONGS)
     docs = documents.select(row_id().alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("raw"), "text")
     idf = inverse_frequencies(docs)
     rows = saved(_signatures(docs, idf), "signatures")
@@ -301,9 +314,9 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     # a large bucket is dealt to as many tasks as it has parts
     follow = Window.partitionBy("bucket", F.pmod(F.xxhash64("m.node"), F.ceil(F.col("n") / PART).cast("long"))).orderBy("m.sig", "m.node")
     neighbours = members.select("m", *[F.lead("m", k).over(follow).alias(f"m{k}") for k in range(1, NEXT + 1)])
-    neighbours = neighbours.select("m", F.explode(F.array(*[f"m{k}" for k in range(1, NEXT + 1)])).alias("lead")).where(F.col("lead").isNotNull() & (_equal("m.sig", "lead.sig", LONGS) >= LEAST_EQUAL)).select(*_ordered("m.node", "lead.node"))
+    neighbours = neighbours.select("m", F.explode(F.array(*[f"m{k}" for k in range(1, NEXT + 1)])).alias("lead")).where(F.col("lead").isNotNull() & (_equal("m.sig", "lead.sig", LONGS) >= least_coarse)).select(*_ordered("m.node", "lead.node"))
     x, y, same = members.alias("x"), heads.alias("y"), F.col("x.bucket") == F.col("y.bucket")
-    to_heads = x.join(y, same & (F.col("m.node") != F.col("lead.node")) & (_equal("m.sig", "lead.sig", LONGS) >= LEAST_EQUAL)).select(*_ordered("m.node", "lead.node"))
+    to_heads = x.join(y, same & (F.col("m.node") != F.col("lead.node")) & (_equal("m.sig", "lead.sig", LONGS) >= least_coarse)).select(*_ordered("m.node", "lead.node"))
     pairs = saved(to_heads.union(neighbours).distinct(), "pairs")
     links = parts = None
     if not pairs.isEmpty():
@@ -311,7 +324,8 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
         parts = components(links)
         members, fine = whole.select("band", "bucket", "node"), None
         once = ~F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))  # in the first bucket that both are in
-        for least in LEAST_FINE:
+        # of members of different components the likeliest pairs come first, as they join most components
+        for least in (least_equal(threshold, FINE, 0.25), least_equal(threshold, FINE)):
             part = parts.select(F.col("u").alias("node"), F.col("v").alias("part"))
             placed = saved(members.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "placed")
             largest = placed.groupBy("bucket", "part").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")

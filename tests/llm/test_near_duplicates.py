@@ -132,6 +132,20 @@ def test_a_hot_bucket_is_compared_whole(spark, monkeypatch):
     assert grouped(found) == brute_classes([(r[0], r[1]) for r in rows], neardup.inverse_frequencies(docs))
 
 
+def test_few_likely_pairs_are_left_out(spark):
+    """The least number of equal samples follows from the threshold: one pair in 10,000 at the threshold has fewer."""
+    rng = np.random.default_rng(3)
+    for threshold in (0.8, 0.9):
+        for longs in (neardup.LONGS, neardup.FINE):
+            equal = rng.binomial(neardup.PACK * longs, threshold + (1 - threshold) / 8, 400_000)
+            least = neardup.least_equal(threshold, longs)
+            assert (equal < least).mean() <= 2 * neardup.MISS < (equal < least + 4).mean()
+    assert neardup.least_equal(1.0, neardup.FINE) == neardup.PACK * neardup.FINE
+    for threshold in (0.7, 1.1):
+        with pytest.raises(ValueError, match="threshold"):
+            neardup.near_duplicates(frame(spark), threshold)
+
+
 def test_edges(spark):
     found = neardup.near_duplicates(frame(spark)).collect()
     by = {r.doc_id: r.class_id for r in found}
