@@ -56,46 +56,52 @@ NOT_MAIN_WORDS = frozenset(
     "header login mainnav masthead menu nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies reply "
     "search share sharing sidebar sidenav signup skip social sponsor sponsored subnav subscribe toolbar topbar topnav".split()
 )
-#: Of these, the words that wrappers of a whole page bear as well; an article or main element inside ends their effect.
-WRAPPER_WORDS = frozenset("header menu nav navbar navigation notice notices sidebar footer search".split())
+#: A name of class or id counts if all its words are of the above or of these: "cookie-notice" and "sidebar-left", not "with-comments".
+PART_WORDS = NOT_MAIN_WORDS | frozenset("area bar block bottom box column container content fixed form inner items l left link links list main middle outer page primary r right secondary section site slot small sticky top unit widget wrap wrapper".split())
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _attribute = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
+_name = re.compile(r"[^\s\"']+")
 _name_words = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _space = re.compile(r"\s+")
 
 
 class Node:
-    """An open element: name, path, whether an article or main is around, and why it is outside the main text, by itself or
-    an ancestor: 0 it is not, 1 a wrapper's word, 2 anything else."""
+    """An open element: name, path, whether a main (1) or an article (2) is around, and why it is outside the main text, by itself or
+    an ancestor: 0 it is not, 1 a class or id, which an article or main element inside ends, 2 anything else."""
 
     __slots__ = ("name", "path", "article", "other")
 
-    def __init__(self, name: str, path: int, article: bool, other: int):
+    def __init__(self, name: str, path: int, article: int, other: int):
         self.name, self.path, self.article, self.other = name, path, article, other
 
 
-def _is_other(name: str, attributes: str, inside: bool) -> int:
+def _is_other(name: str, attributes: str, inside: int) -> int:
     if name in NOT_MAIN or name == "header" and not inside:
         return 2
-    if not attributes or name in ("html", "body", "main"):
+    if not attributes or name in ("html", "body"):
         return 0
     found: set[str] = set()
     for key, value in _attribute.findall(attributes):
         key = key.lower()
         if key in ("class", "id"):
-            found |= NOT_MAIN_WORDS.intersection(_name_words.findall(_camel.sub("-", value).lower()))
+            for whole in _name.findall(value):
+                words = set(_name_words.findall(_camel.sub("-", whole).lower()))
+                if words <= PART_WORDS:
+                    found |= words & NOT_MAIN_WORDS
         elif key == "role" and value.strip("\"'").lower() in NOT_MAIN_ROLES or key == "hidden" or key == "aria-hidden" and value.strip("\"'").lower() == "true":
             return 2
-    if inside or name == "article":
+    if inside < 2 and name in ("article", "main"):
+        return 0  # the article itself, whatever it is tagged with
+    if inside:
         found.discard("header")  # an article's own headline
-    return 2 if found - WRAPPER_WORDS else 1 if found else 0
+    return 1 if found else 0
 
 
 def _child(parent: Node, name: str, attributes: str) -> Node:
-    article = name in ("article", "main")
-    above = 0 if article and parent.other == 1 else parent.other
-    return Node(name, _hash(parent.path, name) & ~1, parent.article or article, max(above, _is_other(name, attributes, parent.article)))
+    article = 2 if name == "article" else 1 if name == "main" else 0
+    above = 0 if article and parent.other == 1 and parent.article < 2 else parent.other
+    return Node(name, _hash(parent.path, name) & ~1, max(parent.article, article), max(above, _is_other(name, attributes, parent.article)))
 
 
 def _hash(parent: int, kind: str) -> int:
@@ -105,7 +111,7 @@ def _hash(parent: int, kind: str) -> int:
 def parse(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
     """Events of a page: ("open" | "close", token, element, "") and ("text", token, element, text), in page order. Tokens are 64-bit hashes
     of the path of tag names (even), and of the text where there is one (odd)."""
-    stack = [Node("", 0, False, 0)]
+    stack = [Node("", 0, 0, 0)]
     raw, at, page = None, 0, page or ""
     while at < len(page):
         if raw:

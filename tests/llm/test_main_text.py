@@ -107,3 +107,19 @@ def test_classes_are_ordered_and_nested(spark):
     ranks, crossed, data = h.structure(page, {a: 1, c: 1, b: 2, d: 2}, {1: 2, 2: 2})
     assert ranks == {(a, 0): 0, (c, 0): 1, (b, 0): 0, (d, 0): 1} and crossed == {(1, 2)} and not data
     assert set(h.nested([(2, 1), (3, 1), (5, 1), (4, 2), (7, 2)], [(1, 2)])) == {1}
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>out</p><article class='post tag-cookies category-social comment-status-open'><p>x</p></article>",
+        "<p>out</p><article class=social><p>x</p></article>",
+        "<p>out</p><div class='content with-comments'><article><p>x</p></article></div>",
+        "<p>out</p><div id='ad-free'><div class=social><main class=comments><p>x</p></main></div></div>",
+        "<div class='with-comments category-social'>x</div><div class='cookie-notice'>c</div><div id=sidebarLeft>s</div><div class='post ad'>a</div>",
+        "<p>out</p><main><div class=sidebar><article class='social'><p>x</p></article></div></main>",
+        "<p>out</p><article><p>x</p><div class=comments><article class=comment>c</article></div><div class='share'>s</div></article>",
+    ],
+)
+def test_class_words_do_not_drop_the_article(page):
+    assert h.main_text(page) == "x"
