@@ -20,9 +20,10 @@ def render(limbs: list[Column]) -> Column:
     """Limb sums, least first, as one decimal string; null if the least is."""
     out, carry = [], F.lit(0).cast("decimal(38,0)")
     for total in limbs[:-1]:
-        value = total.cast("decimal(38,0)") + carry
-        out.append(F.lpad((value % F.lit(_BASE)).cast("decimal(18,0)").cast("string"), DIGITS, "0"))
-        carry = F.floor(value.cast("decimal(38,0)") / F.lit(_BASE).cast("decimal(19,0)")).cast("decimal(38,0)")
+        value = (total.cast("decimal(38,0)") + carry).cast("decimal(38,0)")
+        rest = (value % F.lit(_BASE).cast("decimal(19,0)")).cast("decimal(18,0)")
+        out.append(F.lpad(rest.cast("string"), DIGITS, "0"))
+        carry = ((value - rest).cast("decimal(38,0)") / F.lit(_BASE).cast("decimal(19,0)")).cast("decimal(38,0)")  # leaves no rest, so nothing is rounded
     top = (limbs[-1].cast("decimal(38,0)") + carry).cast("string")
     return F.regexp_replace(F.concat(top, *out[::-1]), "^0+(?=.)", "")
 

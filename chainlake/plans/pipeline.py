@@ -39,13 +39,17 @@ class Lake:
 
 def run_swap_silver(spark: SparkSession, lake: Lake) -> tuple[int, int] | None:
     """Merge the Bronze files that the manifest does not have; rows before and after, or None if there are none. The manifest is
-    saved last: after a crash the files are merged again, to the same result."""
+    saved last: after a crash the files are merged again, to the same result. A manifest without its table is an error, as the rows
+    of its files would be missing from then on."""
     done = files.load_manifest(spark, lake.manifest)
     new = files.unprocessed(files.discover(spark, lake.bronze), done, lake.bronze)
     if not new:
         return None
     path = lake.silver("swaps")
-    old = spark.read.parquet(path) if files.exists(spark, path) else None
+    files.settle(spark, path)
+    old = files.table(spark, path)
+    if done and old is None:
+        raise FileNotFoundError(f"{lake.manifest} lists processed files, but their table is missing: {path}")
     before = old.count() if old is not None else 0
     after = files.publish(silver.swaps(files.scan(spark, new, lake.bronze), old), path)
     files.save_manifest(spark, lake.manifest, done | {files.manifest_entry(f, lake.bronze) for f in new})
@@ -61,10 +65,9 @@ def run_lending_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def run_swap_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    path = lake.silver("swaps")
-    if not files.exists(spark, path):
-        raise FileNotFoundError(f"swap Silver is missing: {path}")
-    table = spark.read.parquet(path)
+    table = files.table(spark, lake.silver("swaps"))
+    if table is None:
+        raise FileNotFoundError(f"swap Silver is missing: {lake.silver('swaps')}")
     return {name: files.publish(build(table), lake.gold(name)) for name, build in SWAP_GOLD.items()}
 
 
@@ -72,14 +75,14 @@ def run_lending_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Rows of the four datasets. {} if neither inputs nor outputs are there; outputs without inputs would be stale, and some of the inputs
     would give a partial result: both are errors."""
     paths = [lake.silver(m.name) for m in silver.MODELS]
-    there = [files.exists(spark, p) for p in paths]
-    if not any(there):
-        if any(files.exists(spark, lake.gold(n)) for n in LENDING_GOLD):
+    found = [files.table(spark, p) for p in paths]
+    if all(t is None for t in found):
+        if any(files.table(spark, lake.gold(n)) is not None for n in LENDING_GOLD):
             raise FileNotFoundError("lending Gold would be stale: all of its Silver inputs are missing")
         return {}
-    if not all(there):
-        raise FileNotFoundError(f"missing inputs: {', '.join(p for p, x in zip(paths, there, strict=True) if not x)}")
-    events = [gold.lending_events(spark.read.parquet(p)) for p in paths]
+    if missing := [p for p, t in zip(paths, found, strict=True) if t is None]:
+        raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
+    events = [gold.lending_events(t) for t in found]
     tables: list[DataFrame] = [gold.daily_borrow_activity(events[0]), gold.daily_repayment_activity(events[1]), gold.daily_liquidation_activity(events[2]), gold.daily_lending_summary(*events)]
     return {name: files.publish(t, lake.gold(name)) for name, t in zip(LENDING_GOLD, tables, strict=True)}
 
@@ -94,5 +97,8 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def run_checks(spark: SparkSession, lake: Lake) -> None:
-    quality.check_swaps(spark.read.parquet(lake.silver("swaps")), spark.read.parquet(lake.gold("pipeline_summary")))
+    tables = [files.table(spark, p) for p in (lake.silver("swaps"), lake.gold("pipeline_summary"))]
+    if any(t is None for t in tables):
+        raise FileNotFoundError("swap Silver or its summary is missing")
+    quality.check_swaps(*tables)
     quality.check_lending(spark, f"{lake.root}/gold")

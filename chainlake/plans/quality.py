@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.sources.files import exists
+from chainlake.sources.files import table
 
 log = logging.getLogger(__name__)
 
@@ -80,13 +80,13 @@ def check_swaps(silver: DataFrame, summary: DataFrame) -> None:
 
 def check_lending(spark: SparkSession, gold_root: str) -> bool:
     """All checks of the four lending datasets; False if none is there, an error if only some are."""
-    there = {name: exists(spark, f"{gold_root}/{name}") for name in GRAINS}
-    if not any(there.values()):
+    tables = {name: table(spark, f"{gold_root}/{name}") for name in GRAINS}
+    missing = [name for name, t in tables.items() if t is None]
+    if len(missing) == len(GRAINS):
         log.info("no lending Gold; its checks are skipped")
         return False
-    if not all(there.values()):
-        raise DataQualityError(f"lending Gold is not complete: {', '.join(n for n, x in there.items() if not x)}")
-    tables = {name: spark.read.parquet(f"{gold_root}/{name}") for name in GRAINS}
+    if missing:
+        raise DataQualityError(f"lending Gold is not complete: {', '.join(missing)}")
     for name, (grain, counts) in GRAINS.items():
         run_check(f"grain and fields of {name}", grain_violations(tables[name], grain, counts), 0)
     run_check("activities and summary agree", unreconciled([tables[n] for n in list(GRAINS)[:3]], tables["daily_lending_summary"]).count(), 0)

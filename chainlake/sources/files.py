@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Ends of the names that a table or manifest has while it is replaced.
+NEXT, OLD = ".next", ".old"
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -45,8 +48,8 @@ def scan(spark: SparkSession, files: str | list[str], root: str | None = None) -
 
 def load_manifest(spark: SparkSession, path: str) -> set[str]:
     """The processed files; none if there is no manifest. ValueError if it is not an object with a list of names."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
+    path = next((x for x in (path, path + NEXT) if exists(spark, x)), "")
+    if not path:
         return set()
     text = "\n".join(r.value for r in spark.read.option("wholetext", "true").text(path).collect())
     try:
@@ -59,16 +62,16 @@ def load_manifest(spark: SparkSession, path: str) -> set[str]:
 
 
 def save_manifest(spark: SparkSession, path: str, files: Iterable[str]) -> None:
-    """Replace the manifest: written aside, then moved."""
-    aside = f"{path}.{uuid.uuid4().hex}.tmp"
-    fs, p = _fs(spark, aside)
-    try:
-        out = fs.create(p, True)
-        out.write(bytearray(json.dumps({"processed_files": sorted(set(files))}, indent=2).encode()))
-        out.close()
-        _replace(spark, aside, path)
-    finally:
-        fs.delete(p, True)
+    """Replace the manifest: written whole under its next name, then moved. A crash in between leaves one of the two, and load_manifest takes it."""
+    fs, p = _fs(spark, path)
+    _, new = _fs(spark, path + NEXT)
+    if not fs.exists(p) and fs.exists(new):
+        _move(fs, new, p)  # a crash left the last one there; it must not be lost while this one is written
+    out = fs.create(new, True)
+    out.write(bytearray(json.dumps({"processed_files": sorted(set(files))}, indent=2).encode()))
+    out.close()
+    fs.delete(p, False)
+    _move(fs, new, p)
 
 
 def manifest_entry(file: str, root: str) -> str:
@@ -82,33 +85,47 @@ def unprocessed(files: Iterable[str], processed: set[str], root: str) -> list[st
     return [f for f in files if manifest_entry(f, root) not in processed]
 
 
-def _replace(spark: SparkSession, aside: str, path: str) -> None:
-    """Move aside to path. A folder that stands there is kept under another name until the move is done, and put back if it fails."""
-    fs, new = _fs(spark, aside)
-    _, p = _fs(spark, path)
-    _, old = _fs(spark, f"{path.rstrip('/')}.{uuid.uuid4().hex}.old")
-    there = fs.exists(p)
-    if there and not fs.rename(p, old):
-        raise OSError(f"{path} can't be moved")
-    if not fs.rename(new, p):
-        if there:
-            fs.rename(old, p)
-        raise OSError(f"{aside} can't be moved to {path}")
-    if there:
-        fs.delete(old, True)
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source.toString()} can't be moved to {target.toString()}")
+
+
+def _beside(path: str, end: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}{end}"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Undo what a crash of publish() left: the old table back in its place if the new one did not get there, and nothing beside it."""
+    fs, p = _fs(spark, path)
+    _, old = _fs(spark, _beside(path, OLD))
+    _, new = _fs(spark, _beside(path, NEXT))
+    if fs.exists(old) and not fs.exists(p):
+        _move(fs, old, p)
+    for x in (old, new):
+        fs.delete(x, True)
+
+
+def table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A published table, or None if there never was one. Between the two moves of publish(), or after a crash there, it is the old one."""
+    found = next((x for x in (path, _beside(path, OLD)) if exists(spark, x)), None)
+    return spark.read.parquet(found) if found else None
 
 
 def publish(df: DataFrame, path: str) -> int:
-    """Write df beside path and swap it in; the number of rows, counted while writing. Readers see the old or the new table, and df may
-    read path itself. On an error nothing is left and the old table stays."""
+    """Write df beside path and swap it in; the number of rows, counted while writing. df may read path itself. On an error the old table stays.
+    The swap is two moves; whenever the driver dies, table() and settle() find the old table or the new one. One job at a time may publish a path."""
     spark = df.sparkSession
-    parent, _, name = path.rstrip("/").rpartition("/")
-    aside = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
+    settle(spark, path)
+    fs, p = _fs(spark, path)
+    _, old = _fs(spark, _beside(path, OLD))
+    _, new = _fs(spark, _beside(path, NEXT))
     seen = Observation()
     try:
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(aside)
-        _replace(spark, aside, path)
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(new.toString())
+        if fs.exists(p):
+            _move(fs, p, old)
+        _move(fs, new, p)
     finally:
-        fs, p = _fs(spark, aside)
-        fs.delete(p, True)
+        settle(spark, path)
     return seen.get["rows"]

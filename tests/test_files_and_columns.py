@@ -19,6 +19,12 @@ def test_wide_sum_is_exact(spark, values):
     assert found == (str(sum(known)) if known else None)
 
 
+@pytest.mark.parametrize("value", [10**18 - 1, 10**21 - 1, 10**36 - 1, 10**54 - 1, 10**72 - 1, 2**256 - 1, 10**18, 10**77])
+@pytest.mark.parametrize("copies", [1, 2, 1001])
+def test_wide_sum_carries_at_the_edges(spark, value, copies):
+    assert spark.range(copies).select(F.lit(str(value)).alias("x")).agg(wide_sum("x").alias("s")).first().s == str(value * copies)
+
+
 def test_wide_sum_refuses_text(spark):
     with pytest.raises(PySparkException, match="not an unsigned integer"):
         spark.createDataFrame([("12.7",)], "x string").agg(wide_sum("x")).collect()
@@ -66,3 +72,54 @@ def test_publish_swaps_whole_tables(spark, tmp_path):
     with pytest.raises(PySparkException):
         files.publish(spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
     assert spark.read.parquet(path).count() == 6 and [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+class Killed(BaseException):
+    """The driver dies here."""
+
+
+@pytest.mark.parametrize("step", ["written", "moved away", "moved in", "old deleted"])
+def test_a_killed_publish_leaves_the_old_table_or_the_new(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "table")
+    files.publish(spark.range(3), path)
+    move, settle, moves = files._move, files.settle, []
+
+    def dying_move(fs, a, b):
+        if step == "written":
+            raise Killed
+        move(fs, a, b)
+        moves.append(b)
+        if (step, len(moves)) in (("moved away", 1), ("moved in", 2)):
+            raise Killed
+
+    def dead_settle(spark, path):  # a dead driver tidies nothing up
+        if step == "old deleted" and moves:
+            raise Killed
+
+    monkeypatch.setattr(files, "_move", dying_move)
+    monkeypatch.setattr(files, "settle", dead_settle)
+    with pytest.raises(Killed):
+        files.publish(spark.range(5), path)
+    monkeypatch.undo()
+    want = 3 if step in ("written", "moved away") else 5
+    assert files.table(spark, path).count() == want
+    settle(spark, path)
+    assert files.table(spark, path).count() == want and [p.name for p in tmp_path.iterdir()] == ["table"]
+    assert files.publish(spark.range(7), path) == 7 and files.table(spark, path).count() == 7
+
+
+def test_a_killed_manifest_is_the_old_or_the_new(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m.json")
+    files.save_manifest(spark, path, ["a"])
+    move = files._move
+
+    def dying_move(fs, a, b):
+        raise Killed
+
+    monkeypatch.setattr(files, "_move", dying_move)
+    with pytest.raises(Killed):
+        files.save_manifest(spark, path, ["a", "b"])
+    monkeypatch.setattr(files, "_move", move)
+    assert files.load_manifest(spark, path) == {"a", "b"}
+    files.save_manifest(spark, path, ["a", "b", "c"])
+    assert files.load_manifest(spark, path) == {"a", "b", "c"}

@@ -102,10 +102,38 @@ def test_incremental_silver_gold_and_checks(spark, lake):
     pipeline.run_checks(spark, lake)
     assert dashboard.kpis(spark, lake)["total_swaps"] == 4
     assert dashboard.swaps_over_time(spark, lake)["swap_count"].sum() == 4
+    assert len(dashboard.top_pools(spark, lake)) == 2 and list(dashboard.recent_swaps(spark, lake, 3)["event_id"])[0] == "arbitrum-0xdef-2"
     with pytest.raises(FileNotFoundError):
         dashboard.read(spark, lake.gold("nothing"))
 
 
+def test_silver_survives_a_crash_while_it_is_swapped(spark, tmp_path, monkeypatch):
+    crashed = pipeline.Lake(str(tmp_path))
+    stream(spark, crashed.root, [record(i, envelope(tx=f"0x{i}")) for i in range(5)], "a")
+    assert pipeline.run_swap_silver(spark, crashed) == (0, 5)
+    stream(spark, crashed.root, [record(10 + i, envelope(tx=f"0xnew{i}")) for i in range(2)], "b")
+    move, settle, moves = files._move, files.settle, []
+
+    def dying_move(fs, a, b):
+        if moves:
+            raise KeyboardInterrupt
+        moves.append(b)
+        move(fs, a, b)
+
+    monkeypatch.setattr(files, "_move", dying_move)
+    monkeypatch.setattr(files, "settle", lambda *_: None)
+    with pytest.raises(KeyboardInterrupt):
+        pipeline.run_swap_silver(spark, crashed)
+    monkeypatch.setattr(files, "_move", move)
+    monkeypatch.setattr(files, "settle", settle)
+    assert pipeline.run_swap_silver(spark, crashed) == (5, 7)
+    fs, p = files._fs(spark, crashed.silver("swaps"))
+    fs.delete(p, True)
+    stream(spark, crashed.root, [record(20, envelope(tx="0xlast"))], "c")
+    with pytest.raises(FileNotFoundError, match="their table is missing"):
+        pipeline.run_swap_silver(spark, crashed)
+
+
 COMMON = "protocol string, chain string, event_date date, block_timestamp timestamp, transaction_hash string, log_index int, kafka_timestamp timestamp, ingested_at timestamp, producer_version string, schema_version string, bronze_processed_at timestamp, bronze_file string, silver_processed_at timestamp, silver_job_version string"
 
 
