@@ -12,7 +12,8 @@ of a block goes on into the next one, so a block's end costs nothing, and memory
 Token ids are those of `tokenizers` and its byte-level BPE file. They are computed by tiktoken from the same vocabulary's
 ranks, which is five times as fast; a text that holds a special token's string goes to `tokenizers` itself.
 
-Defined cases: null and empty texts are a single 0; repeated rows and null ids are documents like others; an empty table gives no
+Defined cases: null and empty texts are a single 0; repeated rows and null ids are documents like others; texts of any length, of whatever characters,
+are encoded whole; of cuts of equal cost the one with the earliest window start of those in the queue is taken, and it before a power of two; an empty table gives no
 row; other columns are ignored. Sequence ids are unique, and the same for the same input partitions.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -38,9 +40,20 @@ SENTENCE, MIDDLE = 4, 48
 STRIDE = 96
 #: Shorter powers of two would save padding by many tiny sequences.
 LEAST_POWER = 128
+#: Fixed value: the characters of Unicode's White_Space, which the pre-tokenizer's pattern means.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space of so many characters are encoded by themselves.
+LONG_RUN = 1000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _runs_of(n: int):
+    return re.compile(f"[{WHITE}]{{{n},}}").finditer
+
+
+_long_space = _runs_of(LONG_RUN)
+
+
 def default_paths() -> tuple[str, str]:
     import public_tokenizers
 
@@ -74,13 +87,26 @@ class Encoder:
             self._slow = Tokenizer.from_file(self._path)
         return self._slow.encode(text, add_special_tokens=False).ids
 
+    def _ordinary(self, text: str) -> list[int]:
+        """Long runs of one class of characters are beyond the patterns' engine, so they are cut out where the pattern cuts anyway: before white
+        space that follows something else, and before the last character of white space. All of a run before that is one pre-token."""
+        if not (runs := list(_long_space(text))):
+            return self._fast.encode_ordinary(text)
+        ids, at = [], 0
+        for m in runs:
+            stop = m.end() if m.end() == len(text) else m.end() - 1
+            ids += self._fast.encode_ordinary(text[at : m.start()])
+            ids += self._fast._encode_single_piece(text[m.start() : stop])
+            at = stop
+        return ids + self._fast.encode_ordinary(text[at:])
+
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(1, np.uint32)
         if any(s in text for s in self._special):
             ids = self._exact(text)
         else:
-            ids = self._fast.encode_ordinary(text)
+            ids = self._ordinary(text)
         out = np.zeros(len(ids) + 1, np.uint32)
         out[:-1] = ids
         return out

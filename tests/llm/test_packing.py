@@ -1,9 +1,11 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -45,11 +47,16 @@ def test_places():
     assert dict(zip(at.tolist(), penalty.tolist(), strict=True)) == {0: 0, 2: 4, 98: 48, 194: 48, 254: 0, 255: 4, 256: 0}
 
 
-def test_encoder_gives_the_tokenizers_ids():
+@pytest.fixture(scope="module")
+def encoders():
     from tokenizers import Tokenizer
 
     paths = packing.default_paths()
-    slow, fast = Tokenizer.from_file(paths[0]), packing.Encoder(*paths)
+    return Tokenizer.from_file(paths[0]), packing.Encoder(*paths)
+
+
+def test_encoder_gives_the_tokenizers_ids(encoders):
+    slow, fast = encoders
     rng = random.Random(1)
     odd = " \n\t\r\x0b\x0c\x1c\x85\xa0  　éßñ'’s't日本۳٣½²_-.!?<|>ab1" + "\u200b\u0301\U0001f600"
     texts = ["", "<|endoftext|>", "a <|endoftext|> b", "it's  I'LL 'd"] + ["".join(rng.choice(odd) for _ in range(rng.randint(1, 60))) for _ in range(400)]
@@ -115,3 +122,28 @@ def test_edges(spark):
     assert sum(r.start == 0 for r in rows) == 16
     assert packing.pack(frame(spark, [])).count() == 0
     assert packing.pack(frame(spark, [row(1, "word " * 30000)])).agg({"length": "sum"}).first()[0] > 30000
+
+
+@pytest.mark.parametrize("text", [" " * 10**6, "\n" * 10**6, "\t " * 500_000, "\u3000" * 300_000, "a" * 10**6, "1" * 10**6, "!" * 10**6, "word " * 200_000, " " * 3000 + "x" + "\n" * 2000 + " y\u00a0" + "\t" * 1500])
+def test_long_runs_of_one_class(encoders, text):
+    slow, fast = encoders
+    assert fast(text).tolist() == [*slow.encode(text, add_special_tokens=False).ids, 0]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([" ", "\n", "\t", "\u3000", "x", "é", "7", "'s", "!", "\x1c"]), st.integers(1, 6)), max_size=8))
+def test_runs_are_cut_where_the_pattern_cuts(encoders, parts):
+    """As above with runs of three instead of a thousand."""
+    slow, fast = encoders
+    text = "".join(c * n for c, n in parts)
+    before, packing._long_space = packing._long_space, packing._runs_of(3)
+    try:
+        found = fast(text).tolist()
+    finally:
+        packing._long_space = before
+    assert found == [*slow.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_long_runs_through_spark(spark):
+    found = packing.pack(frame(spark, [row(1, " " * 10**6), row(2, "\n" * 10**6), row(3, "<|endoftext|>" + " " * 10**6)])).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert len(found) == 3 and all(r["sum(length)"] == r["max(doc_tokens)"] > 10**5 for r in found)
