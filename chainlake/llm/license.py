@@ -4,11 +4,17 @@ Words that occur once in the text and once in a template are anchors. The longes
 positions is aligned; the gap before, between and after the aligned words is aligned in the same way, where words are unique again, after equal
 words at its two ends are matched. Coverage is the share of the template's words that are aligned within the best stretch of the text.
 
-Texts stay in their tasks. The templates are a fixed list of a few thousand words, sent with the code. A text is aligned with a template
-if it has, near each other, enough of the template's words, counted as often as both have them: no aligned stretch has fewer.
-
-Defined cases: null and empty texts have no license; a text with several licenses has a row for each; repeated rows and null ids
-are reported as often as they occur; other columns are ignored. Words are runs of letters, digits, "." and "-" within, in lower case.
+Texts stay in their tasks. The templates are a fixed list of a few thousand words, sent with the code. Only texts that have enough of a
+template's words, counted as often as both have them, are aligned with it. Words that the template lacks can't be aligned, so they are left out first,
+and a license text is found however many foreign words stand between its own. What is aligned are stretches of the words left: of twice
+the template's length from every place, so that copies in a row part, and then of doubling length, each half overlapping the last, up to the whole text. A
+notice of at most PHRASE words is a phrase, whose few words would be found scattered over many a long text: it lies within STRETCH times its length.
+
+Defined cases: null and empty texts have no license; a text with several licenses has a row for each; what lies within the stretch of a
+template of more matched words, at most STRETCH times its length, is not reported beside it, of equally many the one with the higher coverage, then the first by name, stays; of several
+stretches of one template the fullest is reported, then the shortest, then the first; repeated rows and null ids are reported as often as they occur;
+an empty table gives no rows; texts are scanned whole, however long; other columns are ignored. Words are runs of letters, digits, "." and "-"
+within, in lower case.
 """
 
 from __future__ import annotations
@@ -23,52 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake.llm.common import read, slices
+from chainlake.llm.license_texts import TEMPLATES
 
 LEAST = 0.8
-#: Most words of text for each word of a template that a match may stretch over.
-STRETCH = 2
-#: Notices and permission texts by SPDX identifier.
-TEMPLATES = {
-    "MIT-notice": ("MIT", "Released under the MIT License."),
-    "Apache-2.0-notice": ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    "GPL-3.0-notice": ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    "CC-BY-NC-4.0-notice": ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    "CC-BY-4.0-notice": ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-SA-4.0-notice": ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "BSD-notice": ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    "MIT": (
-        "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
-        '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
-        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
-        "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
-        "of the Software.",
-    ),
-    "ISC": (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-        "the above copyright notice and this permission notice appear in all copies.",
-    ),
-    "BSD-2-Clause": (
-        "BSD-2-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
-        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
-        "disclaimer in the documentation and/or other materials provided with the distribution.",
-    ),
-    "Apache-2.0-header": (
-        "Apache-2.0",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You '
-        "may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
-        'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
-        "either express or implied.",
-    ),
-    "GPL-3.0-header": (
-        "GPL-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ),
-}
+#: Templates of so few words are phrases, and how many words of text for each of theirs they may stretch over.
+PHRASE, STRETCH = 20, 2
 SCHEMA = "doc_id long, template string, license string, coverage double, matched_words long, template_words long, first_word long, last_word long"
 _words = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*").findall
 
@@ -119,28 +84,55 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 class Scanner:
     def __init__(self, templates: dict[str, tuple[str, str]] = TEMPLATES, least: float = LEAST):
         self.least = least
-        self.templates = [(name, spdx, words(text)) for name, (spdx, text) in templates.items()]
-        self.vocabulary = {w for _, _, ws in self.templates for w in ws}
+        self.templates = [(name, spdx, ws := words(text), Counter(ws)) for name, (spdx, text) in templates.items()]
+        self.vocabulary = {w for *_, own in self.templates for w in own}
 
     def scan(self, text: str | None) -> list[tuple]:
         """(template, license, coverage, matched, template words, first and last word) for each template that the text covers."""
         ws = words(text)
         known = [i for i, w in enumerate(ws) if w in self.vocabulary]
-        found = []
-        for name, spdx, template in self.templates if known else []:
-            need, own = self.least * len(template), set(template)
-            at = [i for i in known if ws[i] in own]
-            for run in stretches(ws, at, Counter(template), len(template) * STRETCH, need):
-                for _, lo, hi in run:  # the fullest first; the next ones only if the order of words is another one there
-                    pairs = align(ws[lo:hi], template)
-                    if len(pairs) >= need:
-                        found.append((name, spdx, len(pairs) / len(template), len(pairs), len(template), lo + pairs[0][0], lo + pairs[-1][0]))
-                        break
-        best: dict[str, tuple] = {}
+        have, found = Counter(ws[i] for i in known), []
+        for name, spdx, template, own in self.templates:
+            need = self.least * len(template)
+            if sum(min(n, have[w]) for w, n in own.items()) >= need and (best := self._best(ws, [i for i in known if ws[i] in own], template, own, need)):
+                n, first, last = best
+                found.append((name, spdx, n / len(template), n, len(template), first, last))
+        found.sort(key=lambda f: (-f[3], -f[2], f[0]))
+        kept: list[tuple] = []
         for f in found:
-            if f[0] not in best or f[3] > best[f[0]][3]:
-                best[f[0]] = f
-        return list(best.values())
+            if not any(k[5] <= f[5] and f[6] <= k[6] < k[5] + STRETCH * k[4] for k in kept):
+                kept.append(f)
+        return kept
+
+    def _best(self, ws: list[str], at: list[int], template: list[str], own: Counter, need: float) -> tuple[int, int, int] | None:
+        """The most words aligned within a stretch, and the first and last of them."""
+        most, best = len(template) * STRETCH, None
+
+        def tried(run: list[str], place: list[int] | range) -> bool:
+            nonlocal best
+            pairs = align(run, template)
+            if len(pairs) >= need:
+                new = len(pairs), place[pairs[0][0]], place[pairs[-1][0]]
+                if best is None or (-new[0], new[2] - new[1], new[1]) < (-best[0], best[2] - best[1], best[1]):
+                    best = new
+            return len(pairs) >= need
+
+        def from_every_place(run: list[str], at: list[int], place: list[int] | range) -> None:
+            for group in stretches(run, at, own, most, need):
+                for _, lo, hi in group:  # the fullest first; the next ones only if the order of words is another one there
+                    if tried(run[lo:hi], place[lo:hi]):
+                        break
+
+        from_every_place(ws, at, range(len(ws)))
+        if len(template) <= PHRASE or best and best[0] == len(template):
+            return best
+        left, size = [ws[i] for i in at], most
+        from_every_place(left, list(range(len(at))), at)
+        while size < len(left):
+            size *= 2
+            for lo in range(0, max(1, len(left) - size // 2), size // 2):
+                tried(left[lo : lo + size], at[lo : lo + size])
+        return best
 
 
 def stretches(ws: list[str], at: list[int], template: Counter, most: int, need: float) -> list[list[tuple[int, int, int]]]:

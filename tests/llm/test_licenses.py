@@ -62,3 +62,62 @@ def test_planted(spark):
     assert one.coverage == 1 and license.words(rows[0][1])[one.first_word : one.last_word + 1] == license.words(text)
     assert next(r for r in found if r.doc_id == 2).coverage < 1
     assert license.licenses(frame(spark, [])).count() == 0 and license.licenses(frame(spark)).count() == 0
+
+
+def brute_covered(text, template, least=license.LEAST):
+    """Whether some stretch of the text holds the template's words in order, as the longest common subsequence has it."""
+    a, b = license.words(text), license.words(template)
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1] >= least * len(b)
+
+
+def test_foreign_words_do_not_hide_a_license(spark):
+    """Whatever stands between a license text's words, at every distance, and however often the text comes."""
+    rng = random.Random(8)
+    text = license.TEMPLATES["MIT"][1].split()
+    spread = lambda k: " ".join(" ".join([w, *(f"foreign{rng.randrange(10**6)}" for _ in range(k))]) for w in text)
+    prose = " ".join(sentences(rng, 200))
+    rows = [row(k, spread(k)) for k in (0, 1, 2, 3, 10, 60)] + [row(100, f"{prose} {spread(2)} {prose}"), row(101, f"{spread(2)} {spread(2)} {prose} {spread(4)}"), row(102, prose)]
+    found = license.licenses(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.template, r.coverage) for r in found} == {(k, "MIT", 1.0) for k in (0, 1, 2, 3, 10, 60, 100, 101)}
+
+
+def test_found_is_what_the_longest_common_subsequence_covers():
+    """Changed license texts among others' words: every one that is covered is found, and none that is not."""
+    rng, scanner, both = random.Random(9), license.Scanner(), [0, 0]
+    names = [n for n, (_, t) in license.TEMPLATES.items() if len(license.words(t)) > license.PHRASE]
+    for _ in range(60):
+        name = rng.choice(names)
+        words = license.words(license.TEMPLATES[name][1])
+        changed = [w for w in words if rng.random() > 0.3 * rng.random()]
+        for _ in range(rng.randrange(40)):
+            changed.insert(rng.randrange(len(changed) + 1), f"foreign{rng.randrange(100)}")
+        text = " ".join(changed)
+        want = brute_covered(text, license.TEMPLATES[name][1])
+        spdx = {r[1] for r in scanner.scan(text)}
+        found = license.TEMPLATES[name][0] in spdx
+        both[want] += 1
+        assert found or not want or scanner.scan(text)[0][3] >= 0.8 * len(words), (name, text)
+        assert want or not any(r[0] == name for r in scanner.scan(text))
+    assert min(both) > 3
+
+
+def test_the_longer_of_two_that_cover_a_stretch_is_reported():
+    scan = license.Scanner().scan
+    for name, (spdx, text) in license.TEMPLATES.items():
+        assert {r[1] for r in scan(f"Some words before it. {text} And after.")} == {spdx}, name
+    two = license.TEMPLATES["MIT-full"][1] + " " + license.TEMPLATES["Apache-2.0-notice"][1]
+    assert {r[0] for r in scan(two)} == {"MIT-full", "Apache-2.0-notice"}
+
+
+def test_long_scrambled_texts_end(spark):
+    rng = random.Random(10)
+    words = license.TEMPLATES["MIT"][1].split() * 60
+    rng.shuffle(words)
+    rows = [row(1, " ".join(words)), row(2, " " * 10**6), row(3, "x" * 10**6), row(4, "software " * 10**5)]
+    assert license.licenses(frame(spark, rows)).count() <= 1
