@@ -5,25 +5,26 @@ occurrence vector says how often each of the host's pages has it. Vectors are ne
 the token's count to a sum, equal sums stand for equal vectors, and the sums are aggregated before and after the shuffle. So
 a host with a third of all pages costs a row for each of its tokens and task, like any other.
 
-Equal html counts once per host. Tokens of equal vectors that occur in at least `support` of a host's pages form its classes, if there is a tag among
+Equal html counts once per host. Tokens of equal vectors that occur in at least `support` of a host's pages, and in LEAST_PAGES, form its classes, if there is a tag among
 them, as a template's words come with its markup. Each page is then read again with its host's classes, a tag being two symbols, its start and its
 end. A class is ordered if its symbols come in the same order in every instance on every page; symbols that do not, leave it. Two classes are nested
 if no instance of one has parts in two gaps of an instance of the other that it does not lie in as a whole; of two that cross, the larger
 stays. The classes left are the template, and their text tokens its own words (labels of menus, notices, footers). What lies in the gaps between their
 symbols is slots: of other classes, and of data. Words that merely many pages share have a vector that no tag has, and stay data.
 
-Text in an article or main element is not the template's for being once on every page, and where no page has text outside its classes,
-the pages are copies of one text, which stays. Data is part of the main text if it lies in the article (the article or main element, or else the body) and
-no element around it is for menus, headers, footers, sidebars, adverts, forms, comments, scripts or styles, by tag or by the words of
-its class, id or role.
+Text in an article or main element is the template's only if its class is on every page of the host and not once on each, as what some articles share
+is theirs; and where no page has text outside its classes, the pages are copies of one text, which stays. Data is part of the main text if it lies in the article
+(the article or main element, or else the body) and no element around it is for menus, headers, footers, sidebars, adverts, forms, comments,
+scripts or styles, by tag or by the words of its class, id or role.
 
-A host with fewer than `least_pages` pages has no template, and its pages are judged by their elements alone; so is a token in few pages.
+LEAST_PAGES is the method's least support of a class: two pages that have something in common say nothing of a template yet.
 What a host keeps is bounded by its page size: tokens in at least `support` of the pages are at most 1 / support times those of a page.
 
 Blocks are what block-level tags separate; white space in a block is one space; blocks are joined by a line end in page order.
 
 Defined cases: null and empty html give an empty text; broken markup is read as far as it goes, an unclosed element ending with its parent;
-a null url is a host of its own; repeated rows and equal pages of a host count once, and all get their text; whole pages are read, however long.
+a null url is a host of its own; repeated rows and equal pages of a host count once, and all get their text; of classes that cross and are equally
+large the one with the smaller vector stays; whole pages are read, however long; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from chainlake.llm.common import read, saved, slices
 from chainlake.llm.urlfilter import split_url
 
-SUPPORT, LEAST_PAGES = 0.5, 8
+SUPPORT, LEAST_PAGES = 0.5, 3
 #: Fixed values of HTML: elements without content, of raw text, and those that are inline; elements whose start ends an open one of the same group.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
@@ -270,36 +271,35 @@ def nested(members: list[tuple[int, int]], crossed: list[tuple[int, int]]) -> di
 
 
 def templates(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, members, crossed, root, data), written: the ordered (token, class) of each host, the classes that cross, the class of what
-    every page has once, and whether the pages have text beside their classes."""
+    """(host, members, crossed, root, data), written: the ordered (token, class, whether on all pages) of each host, the classes that cross, the
+    class of what every page has once, and whether the pages have text beside their classes."""
     wrap = lambda c: F.pmod(c, F.lit(2**62).cast("decimal(38,0)"))
     pages = _distinct(pages)
     sums = pages.mapInArrow(_sums, "host string, token long, vector long, pages long")
     sums = sums.groupBy("host", "token").agg(wrap(F.sum(F.col("vector").cast("decimal(38,0)"))).cast("long").alias("vector"), F.sum("pages").alias("pages"))
-    sums = saved(sums.where((F.col("pages") >= least_pages * support) | (F.col("token") == 0)), "token-sums")
-    size = sums.where("token = 0").select("host", F.col("pages").alias("all"), F.col("vector").alias("root")).where(F.col("all") >= least_pages)
+    sums = saved(sums.where((F.col("pages") >= least_pages) | (F.col("token") == 0)), "token-sums")
+    size = sums.where("token = 0").select("host", F.col("pages").alias("all"), F.col("vector").alias("root"))
     wide = sums.where("token <> 0").join(size, "host").where(F.col("pages") >= support * F.col("all"))
-    classes = wide.groupBy("host", "root", "vector").agg(F.collect_set("token").alias("tokens"), F.bool_or(F.col("token") % 2 == 0).alias("valid")).where("valid")
+    classes = wide.groupBy("host", "root", "vector", (F.col("pages") == F.col("all")).alias("everywhere")).agg(F.collect_set("token").alias("tokens"), F.bool_or(F.col("token") % 2 == 0).alias("valid")).where("valid")
     member = F.explode("tokens").alias("token")
-    members = saved(classes.select("host", "root", "vector", member), "members")
+    members = saved(classes.select("host", "root", "vector", "everywhere", member), "members")
     by_host = saved(members.groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members")), "classes")
     found = saved(pages.join(by_host, "host").select("host", "html", "members").mapInArrow(_structure, "host string, side int, token long, lo long, hi long").groupBy("host", "side", "token", F.when(F.col("side") == CROSS, F.col("lo")).alias("other")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "structure")
     ordered = found.where(F.col("side") <= END).groupBy("host", "token").agg(F.bool_and((F.col("lo") == F.col("hi")) & (F.col("lo") >= 0)).alias("ordered")).where("ordered").select("host", "token")
     crossed = found.where(F.col("side") == CROSS).groupBy("host").agg(F.collect_list(F.struct(F.col("token").alias("a"), F.col("other").alias("b"))).alias("crossed"))
     data = found.where(F.col("side") == DATA).select("host", F.lit(True).alias("data"))
-    known = members.join(ordered, ["host", "token"]).groupBy("host").agg(F.collect_list(F.struct("token", "vector")).alias("members"), F.first("root").alias("root"))
+    known = members.join(ordered, ["host", "token"]).groupBy("host").agg(F.collect_list(F.struct("token", "vector", "everywhere")).alias("members"), F.first("root").alias("root"))
     return saved(known.join(crossed, "host", "left").join(data, "host", "left").withColumn("data", F.coalesce("data", F.lit(False))), "templates")
 
 
-def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset(), root: frozenset[int] | set[int] = frozenset()) -> str:
-    """The main text of one page. template: the tokens of its host's valid classes; root: those that every page has once, which are not
-    the template's in an article or main element."""
+def main_text(page: str | None, outside: frozenset[int] | set[int] = frozenset(), inside: frozenset[int] | set[int] = frozenset()) -> str:
+    """The main text of one page. outside and inside: the tokens that are its host's template outside and inside article and main elements."""
     events = list(parse(page))
     in_article = any(node.article and not node.other for kind, _, node, _ in events if kind == "open")
     blocks: list[list[str]] = [[]]
     for kind, token, node, text in events:
         if kind == "text":
-            if not node.other and (node.article or not in_article) and token not in template and (node.article or token not in root):
+            if not node.other and (node.article or not in_article) and token not in (inside if node.article else outside):
                 blocks[-1].append(text)
         elif node.name not in INLINE:
             if blocks[-1]:
@@ -330,10 +330,12 @@ def extract(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEAST
 
 
 def _template(members: list[dict] | None, crossed: list[dict] | None, root: int | None, data: bool | None) -> tuple[frozenset[int], frozenset[int]]:
-    """The tokens of a host's template without and with those that every page has once. Where no page has data, these are copies of one text."""
-    taken = nested([(m["token"], m["vector"]) for m in members or ()], [(x["a"], x["b"]) for x in crossed or ()])
-    once = taken.pop(root, []) if root is not None else []
-    return frozenset(t & (2**64 - 1) for ts in taken.values() for t in ts), frozenset(t & (2**64 - 1) for t in once if data)
+    """The tokens of a host's template outside and inside articles. Where no page has data, what every page has once is no template."""
+    members = members or []
+    taken = nested([(m["token"], m["vector"]) for m in members], [(x["a"], x["b"]) for x in crossed or ()])
+    everywhere = {m["vector"] for m in members if m["everywhere"]}
+    tokens = lambda of: frozenset(t & (2**64 - 1) for c in of for t in taken[c])
+    return tokens(c for c in taken if data or c != root), tokens(c for c in taken if c in everywhere and c != root)
 
 
 def host_of(url: str) -> F.Column:

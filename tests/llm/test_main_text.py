@@ -60,8 +60,11 @@ def test_template_words_go_and_common_words_stay(spark):
 
     found = h.extract(site(spark, 20, page)).collect()
     assert {r.page_id: r.text for r in found} == {i: f"own words {i}" + ("\na sentence that most have" if i % 4 else "") for i in range(20)}
-    few = h.extract(site(spark, 5, page)).collect()
-    assert all(r.text.startswith("Subscribe now\n") for r in few)
+    for n in (3, 5, 7, 8, 9):  # from the least support on, the number of pages changes nothing
+        few = h.extract(site(spark, n, lambda i: f"<div><div class=x1><span>Subscribe now</span></div><div class=x2><p>own words {i}</p></div></div>")).collect()
+        assert {r.page_id: r.text for r in few} == {i: f"own words {i}" for i in range(n)}
+    two = h.extract(site(spark, 2, page)).collect()
+    assert all(r.text.startswith("Subscribe now\n") for r in two)
 
 
 def test_vectors_are_by_page(spark):
@@ -123,3 +126,41 @@ def test_classes_are_ordered_and_nested(spark):
 )
 def test_class_words_do_not_drop_the_article(page):
     assert h.main_text(page) == "x"
+
+
+@pytest.mark.parametrize("n", [3, 7, 8, 20])
+def test_constant_lines_of_articles_stay(spark, n):
+    """Lines that all or most articles have, with the tags around them, are theirs."""
+    page = lambda i: f"<article><p>own {i}</p>" + ("<blockquote>Daily notes</blockquote>" if i % 3 else "") + "<p>Yours sincerely</p></article><footer>f</footer>"
+    found = {r.page_id: r.text for r in h.extract(site(spark, n, page)).collect()}
+    assert found == {i: f"own {i}\n" + ("Daily notes\n" if i % 3 else "") + "Yours sincerely" for i in range(n)}
+
+
+def brute_template(pages):
+    """Texts that are the template's by the definition, from whole occurrence vectors: equal to that of a tag, and on all pages."""
+    vectors = {}
+    for i, page in enumerate(pages):
+        for kind, token, _, text in h.parse(page):
+            if kind == "open" or kind == "text" and not text.isspace():
+                vectors.setdefault((kind, token, text), [0] * len(pages))[i] += 1
+    tags = {tuple(v) for (kind, *_), v in vectors.items() if kind == "open"}
+    return {text for (kind, _, text), v in vectors.items() if kind == "text" and tuple(v) in tags and all(v)}
+
+
+def test_templates_without_articles_are_the_brute_ones(spark):
+    """Pages without article elements and without telling class names: what goes is the template by its definition, and nothing else."""
+    labels = ["Home", "Read on", "All rights kept"]
+
+    def page(i):
+        rows = "".join(f"<li><i>Part</i> item {i} {j}" for j in range(1 + i % 4))
+        return f"<body><div><b>{labels[0]}</b></div><div><p>story {i}</p><p>said in common</p><p>said in common too {i % 2}</p><ul>{rows}</ul></div><div><u>{labels[1]}</u><s>{labels[2]}</s></div></body>"
+
+    pages = [page(i) for i in range(13)]
+    gone = brute_template(pages)
+    assert set(labels) <= gone and "Part" in gone and "story 1" not in gone
+    found = {r.page_id: r.text.split("\n") for r in h.extract(site(spark, 13, page)).collect()}
+    for i, text in found.items():
+        parts = [t for k, _, _, t in h.parse(pages[i]) if k == "text" and t not in gone]
+        assert [w for x in text for w in x.split()] == [w for x in parts for w in x.split()]
+    bare = [h.main_text(p) for p in pages]
+    assert all("Home" in b for b in bare) and not any("Home" in t for t in found.values())
