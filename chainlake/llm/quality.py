@@ -31,8 +31,8 @@ MOST_RIGHT = 0.999
 #: Rules are loose: a good document breaks one at most once in a hundred times. A fault is one of several, so a rule sees few bad ones.
 LEAST_RIGHT, START_GOOD, START_BAD = 0.99, 0.995, 0.15
 KEEP = 0.5
-#: Bits of a window's sort key that hold its position; texts of more words than that hold would be over 128 MB.
-_AT = 26
+#: Bits of a window's sort key that hold its position: an array has no more places.
+_AT = 31
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -45,24 +45,37 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """How many words lie in a window of three that the text has twice or more. Windows are sorted as hash and position in
-    one long; neighbours of equal hash whose words are equal repeat; the lengths of the covered stretches are added up."""
-    mask = F.lit((1 << _AT) - 1)
-    n = F.size(words)
-    windows = F.when(n >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.shiftleft(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), _AT).bitwiseOR(i.cast("long"))))).otherwise(F.array().cast("array<long>"))
-
-    def covered(s: Column) -> Column:
-        def same(x: Column, j: Column) -> Column:
-            p, q = x.bitwiseAND(mask).cast("int"), F.get(s, j).bitwiseAND(mask).cast("int")
-            equal = [F.get(words, p + k) == F.get(words, q + k) for k in range(3)]
-            return (F.shiftrightunsigned(F.get(s, j), _AT) == F.shiftrightunsigned(x, _AT)) & equal[0] & equal[1] & equal[2]
-
-        repeats = F.filter(s, lambda x, i: F.coalesce(same(x, i + 1), F.lit(False)) | F.coalesce(F.when(i > 0, same(x, i - 1)), F.lit(False)))
-        at = F.sort_array(F.transform(repeats, lambda x: x.bitwiseAND(mask)))
-        start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("end"))
-        return F.aggregate(at, start, lambda a, p: F.struct((a["sum"] + p + 3 - F.greatest(a["end"], p)).alias("sum"), (p + 3).alias("end")), lambda a: a["sum"])
-
-    return _let(windows, covered)
+    """How many words lie in a window of three that the text has twice or more. Windows are sorted as hash bits and position in one long;
+    those that stand beside equal bits are candidates. Where words of such neighbours differ, candidates are sorted again by
+    their words, so that equal windows stand together whatever their hashes. The lengths of the covered stretches are added up."""
+    mask, n = F.lit((1 << _AT) - 1), F.size(words)
+    place = lambda x: x.bitwiseAND(mask).cast("int")
+    bits = lambda x: F.shiftrightunsigned(x, _AT)
+    true = lambda c: F.coalesce(c, F.lit(False))
+    keys = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.shiftleft(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), _AT).bitwiseOR(i.cast("long")))
+    windows = F.when(n >= 3, F.sort_array(keys)).otherwise(F.array().cast("array<long>"))
+
+    def equal(x: Column, y: Column) -> tuple[Column, ...]:
+        return F.get(words, x) == F.get(words, y), F.get(words, x + 1) == F.get(words, y + 1), F.get(words, x + 2) == F.get(words, y + 2)
+
+    def beside(s: Column, same: Callable[[Column, Column], Column]) -> Column:
+        return F.filter(s, lambda x, i: true(same(x, F.get(s, i + 1))) | true(same(x, F.get(s, i - 1))))
+
+    def by_words(c: Column) -> Column:
+        whole = F.sort_array(F.transform(c, lambda x: F.struct(*[F.get(words, place(x) + k).alias(f"w{k}") for k in range(3)], place(x).alias("p"))))
+        return F.transform(_let(whole, lambda s: beside(s, lambda x, y: (x["w0"] == y["w0"]) & (x["w1"] == y["w1"]) & (x["w2"] == y["w2"]))), lambda x: x["p"])
+
+    def places(c: Column) -> Column:
+        def differ(x: Column, y: Column) -> Column:
+            first, second, third = equal(place(x), place(y))
+            return (bits(x) == bits(y)) & ~(first & second & third)
+
+        clash = F.exists(F.transform(c, lambda x, i: true(differ(x, F.get(c, i + 1)))), lambda x: x)
+        return F.when(clash, by_words(c)).otherwise(F.transform(c, place))
+
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("end"))
+    at = F.sort_array(_let(_let(windows, lambda s: beside(s, lambda x, y: bits(x) == bits(y))), places))
+    return F.aggregate(at, start, lambda a, p: F.struct((a["sum"] + p + 3 - F.greatest(a["end"], p)).alias("sum"), (p + 3).alias("end")), lambda a: a["sum"])
 
 
 def counts(documents: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cases import frame, row, sentences
 from chainlake.llm import quality
@@ -36,6 +37,24 @@ def test_counts_of_odd_texts(spark, texts):
     assert {tuple(r)[:6] for r in found} == {brute(i, t)[:6] for i, t in enumerate(texts)}
 
 
+def test_counts_under_collisions(spark):
+    """Windows whose 38 hash bits are equal though their words are not, sorted between those that repeat; and any other number of bits."""
+    text = "a174210 b174210 c174210 p a379122 b379122 c379122 q a174210 b174210 c174210"
+    rng = random.Random(3)
+    rows = [(1, text)] + [(i, " ".join(rng.choice(["x", "y", "z"]) for _ in range(300))) for i in range(2, 6)]
+    found = quality.counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r)[:6] for r in found} == {brute(i, t)[:6] for i, t in rows}
+
+
+def test_counts_where_all_windows_collide(spark, monkeypatch):
+    """With no hash bits but the lowest few, equal windows are still told apart by their words."""
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *cs: (F.length(cs[0]) % 2).cast("long"))
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["x", "yy", "z", "ww"]) for _ in range(120))) for i in range(6)] + [(9, "a b c d")]
+    found = quality.counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r)[:6] for r in found} == {brute(i, t)[:6] for i, t in rows}
+
+
 def brute_em(votes, names, steps):
     good, right = 0.8, {k: (quality.START_GOOD, quality.START_BAD) for k in names}
 
