@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.functions.columns import compatible
+from chainlake.functions.abi import hex_long
+from chainlake.functions.columns import compatible, event_id
 from chainlake.functions.wideint import wide_sum
 from chainlake.operators.dedup import latest
 from chainlake.operators.ingest import decode, with_block_time
@@ -158,18 +159,18 @@ def daily_summary_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CAST(ts AS DATE) AS event_date, event_type,
-       CAST(sum(CAST(CASE WHEN event_id % 7 <> 0 THEN CAST(event_id + 1 AS VARCHAR) || '00000000000000000000000000000000000000000000000000000000' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS BIGNUM)) AS VARCHAR) AS total_amount_raw
+       CAST(sum(CAST(CASE WHEN event_id % 7 = 1 THEN '999999999999999999' WHEN event_id % 7 = 2 THEN '999999999999999999999999999999999999999999999999999999' WHEN event_id % 7 <> 0 THEN CAST(event_id + 1 AS VARCHAR) || '00000000000000000000000000000000000000000000000000000000' || lpad(CAST(user_id AS VARCHAR), 12, '0') END AS BIGNUM)) AS VARCHAR) AS total_amount_raw
 FROM events GROUP BY 1, 2""")
 def wide_amount_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = F.when(F.col("event_id") % 7 != 0, F.concat((F.col("event_id") + 1).cast("string"), F.lit("0" * 56), F.lpad(F.col("user_id").cast("string"), 12, "0")))
+    amount = F.when(F.col("event_id") % 7 == 1, F.lit("9" * 18)).when(F.col("event_id") % 7 == 2, F.lit("9" * 54)).when(F.col("event_id") % 7 != 0, F.concat((F.col("event_id") + 1).cast("string"), F.lit("0" * 56), F.lpad(F.col("user_id").cast("string"), 12, "0")))
     return _table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(wide_sum(amount).alias("total_amount_raw"))
 
 
 @query("""
 SELECT event_type || '-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS event_key, ts FROM events""")
 def event_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.concat("event_type", F.lit("-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"))
-    return _table(spark, sf_dir, "events").select(key.alias("event_key"), "ts")
+    parts = _table(spark, sf_dir, "events").select(F.col("event_type").alias("chain"), F.col("user_id").cast("string").alias("transaction_hash"), F.col("event_id").alias("log_index"), "ts")
+    return parts.select(event_id().alias("event_key"), "ts")
 
 
 @query("""
@@ -229,9 +230,10 @@ def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT e.event_id, e.ts, o.first_order FROM events e LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1) o ON e.user_id = o.o_custkey""")
 def block_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    times = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    return events.join(times, events.user_id == times.o_custkey, "left").select("event_id", "ts", "first_order")
+    """Block times by number: customers stand for blocks, their first orders for the times."""
+    times = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("block_number")).agg(F.min("o_orderdate").alias("block_timestamp"))
+    events = _table(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").cast("string").alias("blockNumber"))
+    return with_block_time(events, times).select("event_id", "ts", F.col("block_timestamp").alias("first_order"))
 
 
 @query("SELECT DISTINCT props AS file FROM events WHERE props NOT IN (SELECT props FROM events WHERE event_id < 50)")
@@ -241,13 +243,14 @@ def unprocessed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE event_type WHEN 'click' THEN 'web' WHEN 'view' THEN 'web' WHEN 'purchase' THEN 'shop' END AS protocol,
-       CASE WHEN event_type NOT IN ('click', 'view', 'purchase') THEN 'unsupported' WHEN event_id % 13 = 0 THEN 'malformed' ELSE 'decoded' END AS status
-FROM events""")
+SELECT CAST(event_id AS INT) AS block, CASE event_id % 4 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 'uniswap_v3' END AS protocol,
+       CASE event_id % 4 WHEN 0 THEN 'decoded' WHEN 3 THEN 'malformed' ELSE 'unsupported' END AS status
+FROM events WHERE user_id IS NOT NULL""")
 def signature_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    owner = F.when(F.col("event_type").isin("click", "view"), "web").when(F.col("event_type") == "purchase", "shop")
-    status = F.when(F.col("protocol").isNull(), "unsupported").when(F.col("event_id") % 13 == 0, "malformed").otherwise("decoded")
-    return _table(spark, sf_dir, "events").withColumn("protocol", owner).select("event_id", "protocol", status.alias("status"))
+    """The routes of logs by topic where one protocol is enabled."""
+    ship(spark)
+    found = decode(_logs(spark, sf_dir), default_registry().enabled(["uniswap_v3"]), "arbitrum")
+    return found.select(hex_long(F.col("blockNumber")).cast("int").alias("block"), "protocol", "status")
 
 
 @query("SELECT event_id, user_id, event_type, props FROM events")

@@ -41,11 +41,9 @@ def write_stream(envelopes: DataFrame, servers: str, checkpoint: str, topic: str
 
 
 def as_records(found: DataFrame, topic: str = TOPIC) -> DataFrame:
-    """messages() with a topic's other columns, for the file stand-in."""
-    return found.select(
-        "key", "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
-        F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"),
-    )
+    """messages() with a topic's other columns, for the file stand-in. The record's time is `timestamp` if there is one, else now."""
+    time = F.col("timestamp") if "timestamp" in found.columns else F.current_timestamp().alias("timestamp")
+    return found.select("key", "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), time, F.lit(0).alias("timestampType"))
 
 
 def console(stream: DataFrame):
