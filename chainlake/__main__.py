@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import sys
 
@@ -15,16 +16,16 @@ from chainlake.streaming import bronze
 
 
 def producer(settings: Settings) -> None:
-    """Logs of a node to Kafka. Protocols and their subscriptions are checked before anything is opened."""
+    """Logs of a node, with their blocks' times, to Kafka. Protocols and their subscriptions are checked before anything is opened."""
     pool = settings.required("AAVE_V3_POOL_ADDRESS") if "aave_v3" in settings.protocols else None
     plugins = default_registry(pool).enabled(settings.protocols)
-    topics = [t for p in plugins for s in p.subscriptions() for t in s.topics]
+    wanted = json.dumps([{"topics": s.topics, "addresses": s.addresses} for p in plugins for s in p.subscriptions()])
     url = settings.required("NODE_WEBSOCKET_URL")
     spark = create_session("chainlake-producer", kafka=True)
     ship(spark)
     spark.dataSource.register(logs.NodeLogs)
     spark.streams.addListener(bronze.ProgressLog())
-    raw = spark.readStream.format("node_logs").option("url", url).option("topics", ",".join(topics)).load()
+    raw = spark.readStream.format("node_logs").option("url", url).option("subscriptions", wanted).load()
     decoded = bronze.observed(ingest.decode(ingest.subscribed(raw, plugins), plugins, settings.chain))
     bronze.until_stopped(kafka.write_stream(ingest.envelopes(decoded), settings.kafka_servers, f"{settings.checkpoint}-producer", settings.kafka_topic))
 

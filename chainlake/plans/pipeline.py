@@ -82,9 +82,13 @@ def run_lending_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         return {}
     if missing := [p for p, t in zip(paths, found, strict=True) if t is None]:
         raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
-    events = [gold.lending_events(t) for t in found]
+    events = [gold.lending_events(t).persist() for t in found]  # each is read twice
     tables: list[DataFrame] = [gold.daily_borrow_activity(events[0]), gold.daily_repayment_activity(events[1]), gold.daily_liquidation_activity(events[2]), gold.daily_lending_summary(*events)]
-    return {name: files.publish(t, lake.gold(name)) for name, t in zip(LENDING_GOLD, tables, strict=True)}
+    try:
+        return {name: files.publish(t, lake.gold(name)) for name, t in zip(LENDING_GOLD, tables, strict=True)}
+    finally:
+        for e in events:
+            e.unpersist()
 
 
 def run_silver(spark: SparkSession, lake: Lake) -> dict:

@@ -144,17 +144,71 @@ def test_node_requests():
     assert logs.subscription_request(["0x1"], ["0xa"])["params"] == ["logs", {"topics": [["0x1"]], "address": "0xa"}]
     assert logs.subscription_request(["0x1", "0x2"], ["0xa", "0xb"])["params"][1]["address"] == ["0xa", "0xb"]
 
-    class Socket:
-        sent, messages = [], [{"id": 1, "result": "0x9"}, {"params": {"result": SWAP}}, {"error": {"code": 1}}]
 
-        def send(self, text):
-            self.sent.append(json.loads(text))
 
-        def recv(self):
-            return json.dumps(self.messages.pop(0))
-
-    reader = logs.NodeLogReader({"url": "ws://x", "topics": "0x1", "batch": "2"}, connect=lambda url, timeout: Socket())
+class Socket:
+    """A node: it confirms subscriptions, sends logs, and knows blocks and logs by number."""
+
+    def __init__(self, logs, blocks):
+        self.logs, self.blocks, self.sent, self.out = list(logs), blocks, [], []
+
+    def send(self, text):
+        request = json.loads(text)
+        self.sent.append(request)
+        answer = {"eth_subscribe": lambda p: "0x9", "eth_getBlockByNumber": lambda p: {"timestamp": self.blocks[p[0]]} if p[0] in self.blocks else None,
+                  "eth_getLogs": lambda p: [x for x in self.all if int(p[0]["fromBlock"], 16) <= int(x["blockNumber"], 16) <= int(p[0]["toBlock"], 16) and x["topics"][0] in p[0]["topics"][0]]}
+        if request["method"] == "eth_getBlockByNumber" and self.logs:
+            self.out.append({"params": {"result": self.logs.pop(0)}})  # a log comes before the answer
+        self.out.append({"id": request["id"], "result": answer[request["method"]](request["params"])})
+
+    def recv(self):
+        if self.out:
+            return json.dumps(self.out.pop(0))
+        if self.logs:
+            return json.dumps({"params": {"result": self.logs.pop(0)}})
+        raise TimeoutError
+
+
+def test_node_reader():
+    late = [SWAP | {"blockNumber": hex(n)} for n in (16, 17, 17)] + [BORROW | {"blockNumber": "0x12"}]
+    socket = Socket(late, {"0x10": "0x65000000", "0x11": "0x65000001"})
+    socket.all = late
+    subscriptions = [{"topics": [TOPIC["swap"]]}, {"topics": [TOPIC["borrow"]], "addresses": ["0xa"]}]
+    options = {"url": "ws://x", "subscriptions": json.dumps(subscriptions), "batch": "3", "wait": "0.5"}
+    reader = logs.NodeLogReader(options, connect=lambda url, timeout: socket)
     rows, offset = reader.read(reader.initialOffset())
-    assert len(list(rows)) == 1 and offset == {"received": 1} and Socket.sent[0]["method"] == "eth_subscribe"
+    first = list(rows)
+    assert [r["method"] for r in socket.sent[:2]] == ["eth_subscribe"] * 2 and socket.sent[1]["params"][1]["address"] == "0xa" and "address" not in socket.sent[0]["params"][1]
+    assert len(first) == 3 and [r[-1].timestamp() for r in first] == [0x65000000, 0x65000001, 0x65000001] and offset == {"received": 3, "block": 17}
+    assert sum(r["method"] == "eth_getBlockByNumber" for r in socket.sent) == 2
+    rows, last = reader.read(offset)
+    rows = list(rows)
+    assert len(rows) == 1 and rows[0][-1] is None and last == {"received": 4, "block": 18}  # the node does not know that block
+    assert list(reader.read(last)[0]) == [] and reader.read(last)[1] == last
+    again = logs.NodeLogReader(options, connect=lambda url, timeout: socket)
+    assert [r[3] for r in again.readBetweenOffsets(offset, last)] == ["0x11", "0x11", "0x12"]  # at least what that batch had
+    assert list(again.readBetweenOffsets(last, last)) == []
+    socket.out.append({"error": {"code": 1}})
     with pytest.raises(RuntimeError, match="refused"):
-        reader.read(offset)
+        reader.read(last)
+
+
+def test_from_the_node_to_gold(spark, tmp_path):
+    """Raw logs with block times through the producer's steps, Bronze and Silver to Gold with a day."""
+    from chainlake.plans import pipeline
+    from chainlake.sources import files, kafka
+    from chainlake.streaming import bronze
+
+    socket = Socket([SWAP, BORROW, REPAY, LIQUIDATION], {"0x10": "0x65000000"})
+    reader = logs.NodeLogReader({"url": "ws://x", "subscriptions": json.dumps([{"topics": list(TOPIC.values())}]), "wait": "0.5"}, connect=lambda url, timeout: socket)
+    raw = spark.createDataFrame(list(reader.read(reader.initialOffset())[0]), logs.NodeLogs({}).schema())
+    lake = pipeline.Lake(str(tmp_path))
+    envelopes = ingest.envelopes(ingest.decode(ingest.subscribed(raw, [UniswapV3(), AaveV3(BORROW["address"])]), PLUGINS, "arbitrum"))
+    kafka.as_records(kafka.messages(envelopes)).write.parquet(f"{lake.root}/topic")
+    bronze.start(bronze.build(kafka.read_stream_files(spark, f"{lake.root}/topic"), lake.bronze), lake.bronze, f"{lake.root}/checkpoint", once=True).awaitTermination()
+    pipeline.run_silver(spark, lake)
+    pipeline.run_gold(spark, lake)
+    pipeline.run_checks(spark, lake)
+    days = {n: [str(r.event_date) for r in files.table(spark, lake.gold(n)).collect()] for n in pipeline.LENDING_GOLD}
+    assert days == {n: ["2023-09-12"] for n in pipeline.LENDING_GOLD}
+    assert files.table(spark, lake.gold("daily_borrow_activity")).first().total_borrow_amount_raw == str(LARGE)
