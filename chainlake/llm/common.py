@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +36,32 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def sweep(spark: SparkSession) -> int:
-    """Delete this application's scratch tables, once results that read them are written elsewhere; how many there were."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+def sweep(spark: SparkSession, since: int = 0, keep: Collection[str] = ()) -> int:
+    """Delete this application's scratch tables from the since-th on but those to keep, once results that read them are written elsewhere; how many
+    there were."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in paths[since:] if p not in keep]
+    for path in gone:
         fs, p = filesystem(spark, path)
         fs.delete(p, True)
-    return len(paths)
+        paths.remove(path)
+    return len(gone)
+
+
+def scratch_tables(spark: SparkSession) -> list[str]:
+    """The scratch tables that this application has written and not swept."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def unused(columns: Collection[str], *names: str) -> list[str]:
+    """The names, each with as many "_" added as it takes to be none of the columns, whatever their case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def saved(df: DataFrame, tag: str) -> DataFrame:

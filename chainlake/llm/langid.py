@@ -211,8 +211,8 @@ def identify(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row; learned from the rows outside fold 0 alone."""
     d = documents.select("doc_id", "text", "lang")
     predict = predictor(train(d.where(fold() != 0)))
-    out = d.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), predict("text").alias("__p"))
-    return out.select("doc_id", "held_out", "__p.lang_pred", "__p.score")
+    out = d.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), predict("text").alias("found"))
+    return out.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
 def keep_known(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -227,8 +227,7 @@ def keep_known(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
             made.append(Profiles(model))
         return pd.Series([made[0].known(t, least, min_score) for t in texts], dtype=bool)
 
-    cols = [F.col(c) for c in documents.columns]
-    return documents.where(known.asNondeterministic()("text")).select(*cols)
+    return documents.where(known.asNondeterministic()("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ Each round is an aggregation, a range sort of the distinct pairs and joins on ra
 the shuffle, results are written, and no interval is gathered, so a passage in a third of all documents is one row of each ranking.
 
 Defined cases: a null text stays null and an empty one empty; blank lines neither count nor go; rows that repeat doc_id and text
-are one document and treated alike; null ids sort last; surrounding white space of a line does not count. Other columns stay.
+are one document and treated alike; null ids sort last; surrounding white space of a line does not count. Texts of any length are used
+whole; an empty table gives an empty one. Other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import read, row_id, saved
+from chainlake.llm.common import read, row_id, saved, unused
 
 MIN_WORDS = 50
 _BLANK = " \t\r\f\v"
@@ -118,12 +119,14 @@ def _without(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.DataF
 
 
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns, text without its later copies, and `deleted`, the number of lines that went."""
-    later = repeated_runs(documents, min_words).select(F.col("id").alias("__id"), F.col("raw").alias("__raw"), F.col("runs").alias("__runs"))
-    joined = documents.withColumns({"__id": row_id(), "__raw": _raw()}).join(later.hint("merge"), ["__id", "__raw"], "left")  # runs grow with the corpus: the same plan at every size
+    """All rows and columns, text without its later copies, and as the last column the number of lines that went: `deleted`, or with "_" added where
+    the documents have such a column."""
+    i, r, later, new, deleted = unused(documents.columns, "id", "raw", "runs", "new", "deleted")
+    found = repeated_runs(documents, min_words).select(F.col("id").alias(i), F.col("raw").alias(r), F.col("runs").alias(later))
+    joined = documents.withColumns({i: row_id(), r: _raw()}).join(found.hint("merge"), [i, r], "left")  # runs grow with the corpus: the same plan at every size
     without = F.pandas_udf(_without, "text string, deleted int").asNondeterministic()
-    new = joined.withColumn("__new", without("text", "__runs.s", "__runs.n"))
-    return new.select(*[F.col("__new.text").alias("text") if c == "text" else F.col(c) for c in documents.columns if c != "deleted"], F.col("__new.deleted").alias("deleted"))
+    cleaned = joined.withColumn(new, without("text", F.col(later)["s"], F.col(later)["n"]))
+    return cleaned.select(*[F.col(new)["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns], F.col(new)["deleted"].alias(deleted))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
