@@ -1,17 +1,20 @@
 """Quality by weak supervision, in DataFrame expressions alone.
 
-Rules look at a document's counts and vote good (1), bad (0) or abstain (null). Expectation-maximisation over the table of vote patterns
-estimates how often each rule is right about good and about bad documents, and how many are good. A document
-is kept if its posterior probability of being good reaches `least`, in place of having to satisfy every rule.
+Rules look at a document's counts and vote good (1), bad (0) or abstain (null). They are strict: many a good document breaks one.
+Expectation-maximisation over the table of vote patterns estimates how often each rule is right about good and about bad documents, and how many are
+good. A document is kept if its posterior probability of being good reaches `least`, in place of having to satisfy every rule: a vote counts for
+as much as the rule's agreement with the others says, and one that says bad of a good document now and then is outvoted.
 
-The counts of each document are written once. Patterns are aggregated (at most 3 ** rules rows, whatever the corpus), and each
-EM step is one aggregation over that table; only the estimates come to the driver.
+The counts of each document are written once. Estimates are made from all documents that pass the base rules, those that are to be
+judged. Patterns are aggregated (at most 3 ** rules rows, whatever the corpus), and each EM step is one aggregation over that table; only the
+estimates come to the driver.
 
-A rule that votes good about most documents says little about bad ones, as one fault does not bring the others; so its rate of being
-right about bad documents may be low. It is held above its rate of being wrong about good ones, which fixes the class that is "good".
+Which class is the good one is fixed by each rule being right more often than by chance: its rate of voting bad about bad documents stays above that
+about good ones. Nothing else holds the estimates but MOST_RIGHT.
 
 Defined cases: a null or empty text has no words, so it fails the base rules; very long texts are counted whole; repeated rows and
-null ids are rows like others; an empty table gives an empty result; other columns are ignored.
+null ids are rows like others; where no document passes the base rules the estimates are their starts; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +29,13 @@ from chainlake.llm.common import read, saved
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 50, 50
-STEPS, TOLERANCE = 25, 1e-5
+STEPS, TOLERANCE = 50, 1e-5
 MOST_RIGHT = 0.999
-#: Rules are loose: a good document breaks one at most once in a hundred times. A fault is one of several, so a rule sees few bad ones.
-LEAST_RIGHT, START_GOOD, START_BAD = 0.99, 0.995, 0.15
+#: Where the estimates start: the share of good documents, and a rule's rates of being right about good and about bad ones. A fault is one of several,
+#: so a rule sees few bad documents.
+GOOD, START_GOOD, START_BAD = 0.8, 0.9, 0.3
+#: A rule's rate of voting bad about bad documents exceeds that about good ones by so much.
+APART = 1e-4
 KEEP = 0.5
 #: Bits of a window's sort key that hold its position: an array has no more places.
 _AT = 31
@@ -106,17 +112,17 @@ def rules() -> dict[str, Column]:
     density, marks_share = per("n_symbols", "word_chars"), per("n_marks", "word_chars")
     upper, marks, ended, digits = per("n_upper", "word_chars"), per("n_marks", "n_words"), per("n_ended", "n_lines"), per("n_digits", "word_chars")
     return {
-        "long_enough": _vote(F.col("n_words") >= 2 * MIN_WORDS, F.col("n_words") < MIN_WORDS),
-        "word_length": _vote(length.between(3, 10), (length < 2) | (length > 15)),
-        "few_symbols": _vote(symbols <= 0.05, symbols > 0.2),
-        "symbol_density": _vote(density <= 0.01, density > 0.03),
-        "mostly_letters": _vote(density + marks_share + digits <= 0.1, density + marks_share + digits > 0.2),
-        "lines_differ": _vote(lines <= 0.2, lines > 0.4),
-        "words_differ": _vote(repeats <= 0.3, repeats > 0.5),
-        "lower_case": _vote(upper <= 0.2, upper > 0.4),
-        "calm": _vote(marks <= 0.1, marks > 0.3),
-        "sentences": _vote(ended >= 0.5, ended < 0.1),
-        "few_digits": _vote(digits <= 0.1, digits > 0.3),
+        "long_enough": _vote(F.col("n_words") >= 4 * MIN_WORDS, F.col("n_words") < 2 * MIN_WORDS),
+        "word_length": _vote(length.between(3.5, 8), ~length.between(3, 10)),
+        "few_symbols": _vote(symbols <= 0.05, symbols > 0.1),
+        "symbol_density": _vote(density <= 0.01, density > 0.02),
+        "mostly_letters": _vote(density + marks_share + digits <= 0.05, density + marks_share + digits > 0.1),
+        "lines_differ": _vote(lines <= 0.1, lines > 0.2),
+        "words_differ": _vote(repeats <= 0.1, repeats > 0.2),
+        "lower_case": _vote(upper <= 0.1, upper > 0.2),
+        "calm": _vote(marks <= 0.05, marks > 0.1),
+        "sentences": _vote(ended >= 0.8, ended < 0.5),
+        "few_digits": _vote(digits <= 0.05, digits > 0.1),
     }
 
 
@@ -124,7 +130,7 @@ class Estimates:
     """Share of good documents, and by rule how often a vote is right about good and about bad ones."""
 
     def __init__(self, names: list[str]):
-        self.good, self.right = 0.8, {k: (START_GOOD, START_BAD) for k in names}
+        self.good, self.right = GOOD, {k: (START_GOOD, START_BAD) for k in names}
 
     def posterior(self) -> Column:
         """The probability of "good" from the columns of votes."""
@@ -135,20 +141,20 @@ class Estimates:
 
     def step(self, patterns: DataFrame) -> float:
         """One round of EM; the largest change of an estimate."""
-        p, n = F.col("__p"), F.col("n")
+        p, n = F.col("posterior"), F.col("n")
         sums = {"all": F.sum(n), "good": F.sum(n * p)}
         for k in self.right:
             v = F.col(k)
             sums |= {f"{k}_1": F.sum(F.when(v == 1, n * p)), f"{k}_g": F.sum(F.when(v.isNotNull(), n * p)), f"{k}_0": F.sum(F.when(v == 0, n * (1 - p))), f"{k}_b": F.sum(F.when(v.isNotNull(), n * (1 - p)))}
-        r = patterns.withColumn("__p", self.posterior()).agg(*[c.alias(k) for k, c in sums.items()]).first()
+        r = patterns.withColumn("posterior", self.posterior()).agg(*[c.alias(k) for k, c in sums.items()]).first()
         if not r["all"]:
             return 0.0
         clip = lambda x, least=1 - MOST_RIGHT: min(MOST_RIGHT, max(least, x))
         rate = lambda k, start: ((r[f"{k[0]}_{k[1]}"] or 0) + start) / ((r[f"{k[0]}_{k[2]}"] or 0) + 1)  # noqa: E731  one vote at the start's rate, for rules that never vote
         was = [self.good, *[x for ab in self.right.values() for x in ab]]
         self.good = clip(r["good"] / r["all"])
-        right = {k: clip(rate((k, 1, "g"), START_GOOD), LEAST_RIGHT) for k in self.right}
-        self.right = {k: (a, clip(rate((k, 0, "b"), START_BAD), 1.5 * (1 - a))) for k, a in right.items()}
+        right = {k: clip(rate((k, 1, "g"), START_GOOD)) for k in self.right}
+        self.right = {k: (a, clip(rate((k, 0, "b"), START_BAD), 1 - a + APART)) for k, a in right.items()}
         return max(abs(a - b) for a, b in zip(was, [self.good, *[x for ab in self.right.values() for x in ab]], strict=True))
 
 
@@ -165,8 +171,8 @@ def assess(documents: DataFrame, keep: float = KEEP) -> DataFrame:
     """Counts, base verdict, posterior and verdict for every row."""
     voting = rules()
     votes = saved(counts(documents).withColumns(voting), "votes")
-    good = fit(votes, list(voting)).posterior()
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+    good = fit(votes.where(~failed), list(voting)).posterior()
     out = votes.withColumn("good_probability", good)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return out.select(*base, failed.alias("base_failed"), (~failed & (F.col("good_probability") >= keep)).alias("kept"), "good_probability")
