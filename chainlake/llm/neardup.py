@@ -21,8 +21,9 @@ are linked, and classes are the connected components.
 * Every such pair is verified on its whole texts. Joins are on nodes or buckets, both sides shuffled unless the written
   table is small, so that skewed ones are split at run time.
 
-Defined cases: texts without a word (null and empty too) are one class if their raw text is equal, null counting as empty; a
-null doc_id sorts last, and a class of null ids has a null class_id; repeated rows are copies; other columns are ignored.
+Defined cases: texts of any length are used whole; an empty table gives no rows; texts without a word (null and empty too) are one class if their raw text is equal, null counting as empty; a
+null doc_id sorts last, and a class of null ids has a null class_id; repeated rows are copies; other columns are ignored, or kept by
+keep_one, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import NO_ID, read, row_id, saved, slices
+from chainlake.llm.common import NO_ID, read, row_id, saved, slices, unused
 from chainlake.llm.graph import components
 
 WORDS = 5
@@ -47,15 +48,15 @@ BANDS, ROWS = 12, 4
 #: Samples are packed fifteen to a long, 3 bits and a free one each: so many longs for all texts, and for those of buckets with several components.
 PACK = 15
 LONGS, FINE = 9, 19
-PART, NEXT = 1000, 2
+PART, NEXT = 250, 2
 #: A bucket of more members gets others beside it by BANDS further bands, from samples of their own, and is compared in blocks of so many.
 HOT = 5000
 BUCKETS = 1 << 16
 POOL = 1 << 16
 #: Pairs at the threshold that have fewer equal samples than least_equal says, this share of them, are not verified. The bands miss more: two in 1000 at 0.80.
 MISS = 1e-4
-#: Pairs that a task verifies.
-PAIRS = 2000
+#: Pairs that a task verifies; on so many that there would be more tasks than WAVES for each core, they take more.
+PAIRS, WAVES = 2000, 32
 #: Up to so many texts to verify, their keys are sent to the scan; more are joined by a shuffle.
 FEW_KEYS = 50_000
 _U64 = np.uint64
@@ -282,7 +283,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarr
             keep = [weighted_jaccard(of(u[i], tu[i]), of(v[i], tv[i])) >= threshold for i in range(len(u))]
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    tasks = -(-pairs.count() // PAIRS)  # few bytes, but much to compute: not to be coalesced by size
+    spark = pairs.sparkSession  # few bytes, but much to compute: not to be coalesced by size, nor to be dealt to more tasks than the cluster has use for
+    tasks = min(-(-pairs.count() // PAIRS), max(int(spark.conf.get("spark.sql.shuffle.partitions")), WAVES * spark.sparkContext.defaultParallelism))
     return both.select("u", "v", "tu", "tv").repartition(tasks).mapInArrow(check, "u binary, v binary")
 
 
@@ -310,19 +312,20 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     central = members.groupBy("node").agg(F.sum("n").alias("score")).join(nodes.select("node", "sig"), "node")
     members = saved(members.join(central, "node").select("band", "bucket", "n", F.struct("score", "node", "sig").alias("m")), "members")
 
-    heads = members.groupBy("bucket").agg(F.max("m").alias("lead"))
-    # a large bucket is dealt to as many tasks as it has parts
-    follow = Window.partitionBy("bucket", F.pmod(F.xxhash64("m.node"), F.ceil(F.col("n") / PART).cast("long"))).orderBy("m.sig", "m.node")
-    neighbours = members.select("m", *[F.lead("m", k).over(follow).alias(f"m{k}") for k in range(1, NEXT + 1)])
+    # a bucket is dealt to as many tasks as it has parts, and so is what its members are compared with
+    parts_of = F.ceil(F.col("n") / PART).cast("long")
+    dealt = members.select("bucket", F.pmod(F.xxhash64("m.node"), parts_of).alias("salt"), "m")
+    heads = members.groupBy("bucket").agg(F.max("m").alias("lead"), F.first("n").alias("n")).select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), parts_of - 1)).alias("salt"), "lead")
+    follow = Window.partitionBy("bucket", "salt").orderBy("m.sig", "m.node")
+    neighbours = dealt.select("m", *[F.lead("m", k).over(follow).alias(f"m{k}") for k in range(1, NEXT + 1)])
     neighbours = neighbours.select("m", F.explode(F.array(*[f"m{k}" for k in range(1, NEXT + 1)])).alias("lead")).where(F.col("lead").isNotNull() & (_equal("m.sig", "lead.sig", LONGS) >= least_coarse)).select(*_ordered("m.node", "lead.node"))
-    x, y, same = members.alias("x"), heads.alias("y"), F.col("x.bucket") == F.col("y.bucket")
-    to_heads = x.join(y, same & (F.col("m.node") != F.col("lead.node")) & (_equal("m.sig", "lead.sig", LONGS) >= least_coarse)).select(*_ordered("m.node", "lead.node"))
+    to_heads = dealt.join(heads, ["bucket", "salt"]).where((F.col("m.node") != F.col("lead.node")) & (_equal("m.sig", "lead.sig", LONGS) >= least_coarse)).select(*_ordered("m.node", "lead.node"))
     pairs = saved(to_heads.union(neighbours).distinct(), "pairs")
     links = parts = None
     if not pairs.isEmpty():
         links = saved(_verified(pairs, nodes, docs, idf, threshold), "links")
         parts = components(links)
-        members, fine = whole.select("band", "bucket", "node"), None
+        members, fine, same = whole.select("band", "bucket", "node"), None, F.col("x.bucket") == F.col("y.bucket")
         once = ~F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")))  # in the first bucket that both are in
         # of members of different components the likeliest pairs come first, as they join most components
         for least in (least_equal(threshold, FINE, 0.25), least_equal(threshold, FINE)):
@@ -366,12 +369,12 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows, texts = classes(documents, threshold)
     heads = texts.groupBy("class").agg(F.min(F.struct("id", "raw")).alias("head")).select("head.id", "head.raw")
     gone = saved(rows.select("id", "raw").join(heads, ["id", "raw"], "left_anti").distinct(), "gone")
-    cols = [F.col(c) for c in documents.columns]
-    keyed = documents.select(*cols, row_id().alias("__id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__raw"))
-    kept = keyed.join(gone.select(F.col("id").alias("__id"), F.col("raw").alias("__raw")).hint("merge"), ["__id", "__raw"], "left_anti")
+    i, r = unused(documents.columns, "id", "raw")
+    keyed = documents.withColumns({i: row_id(), r: F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
+    kept = keyed.join(gone.select(F.col("id").alias(i), F.col("raw").alias(r)).hint("merge"), [i, r], "left_anti")
     if not rows.groupBy("id", "raw").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__id", "__raw"])
-    return kept.select(*cols)
+        kept = kept.dropDuplicates([i, r])
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
