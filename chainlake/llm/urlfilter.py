@@ -11,7 +11,8 @@ A rule fits its host and all subdomains, if the url's path starts with the rule'
 or the end, A-Z in lower case; path: from there up to "?", "#" or the end.
 
 Defined cases: a null url or one without "://" has empty host and path, which no rule fits; of rules that say the same key the last
-one given holds; equally long fitting rules go by the longer host; repeated rows are judged alike; without rules all get the default.
+one given holds; equally long fitting rules go by the longer host; repeated rows are judged alike; without rules all get the default; an empty table gives no rows; urls of any length are judged whole, and keys are
+made only for path lengths that a rule has; other columns are ignored.
 """
 
 from __future__ import annotations

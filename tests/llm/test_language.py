@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter
 
 import duckdb
@@ -53,6 +54,26 @@ def test_distance_is_the_brute_one():
         assert lang == best and np.isclose(score, 1 - away[best] / (k * len(own)))
 
 
+def test_query_is_the_brute_one(spark):
+    """Profiles, predictions, scores and folds of the whole query, by counting grams one by one."""
+    docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{DOCS}'").fetchall()
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 0 for d, *_ in docs}
+    grams = {d: Counter({code(g): n for g, n in brute_counts(t or "").items()}) for d, t, _ in docs}
+    totals = {}
+    for d, t, lang in docs:
+        if lang is not None and t is not None and not held[d]:
+            totals.setdefault(lang, Counter()).update(grams[d])
+    places = {lang: {g: i for i, g in enumerate(brute_rank(c, langid.PROFILE))} for lang, c in totals.items()}
+    want = {}
+    for d, *_ in docs:
+        own = brute_rank(grams[d], langid.PROFILE)
+        away = {lang: sum(abs(i - p[g]) if g in p else langid.PROFILE for i, g in enumerate(own)) for lang, p in places.items()}
+        best = min(sorted(away), key=away.get) if own else "und"
+        want[d] = held[d], best, 1 - away[best] / (langid.PROFILE * len(own)) if own else 0.0
+    found = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in langid.query(spark, "/root/testdata/sf0.001").collect()}
+    assert found.keys() == want.keys() and all(found[d][:2] == want[d][:2] and np.isclose(found[d][2], want[d][2]) for d in want)
+
+
 def test_held_out_accuracy(spark):
     found = langid.query(spark, "/root/testdata/sf0.001").toPandas()
     truth = duckdb.sql(f"SELECT doc_id, lang FROM '{DOCS}'").df()
@@ -75,7 +96,7 @@ def test_edges(spark):
 
 def test_lang_is_no_input(spark):
     rows = [row(i, f"hello world number {'abcdefghij'[i % 10] * 3}") for i in range(40)]
-    held = [i for i in range(40) if __import__("zlib").crc32(str(i).encode()) % 5 == 0]
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0]
     changed = [row(r[0], r[1], "zz" if r[0] in held else r[2]) for r in rows]
     assert {r.lang_pred for r in langid.identify(frame(spark, changed)).collect()} == {"en"}
 
