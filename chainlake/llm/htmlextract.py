@@ -33,6 +33,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,8 @@ NOT_MAIN_WORDS = frozenset(
 )
 #: A name of class or id counts if all its words are of the above or of these: "cookie-notice" and "sidebar-left", not "with-comments".
 PART_WORDS = NOT_MAIN_WORDS | frozenset("area bar block bottom box column container content fixed form inner items l left link links list main middle outer page primary r right secondary section site slot small sticky top unit widget wrap wrapper".split())
+#: After so many new nodes all are forgotten.
+REMEMBERED = 1 << 16
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _attribute = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
 _name = re.compile(r"[^\s\"']+")
@@ -69,12 +72,22 @@ _space = re.compile(r"\s+")
 
 class Node:
     """An open element: name, path, whether a main (1) or an article (2) is around, and why it is outside the main text, by itself or
-    an ancestor: 0 it is not, 1 a class or id, which an article or main element inside ends, 2 anything else."""
+    an ancestor: 0 it is not, 1 a class or id, which an article or main element inside ends, 2 anything else. Nodes of the same place and attributes are
+    one object, as pages of a site share most of theirs."""
 
-    __slots__ = ("name", "path", "article", "other")
+    __slots__ = ("name", "path", "article", "other", "children")
 
     def __init__(self, name: str, path: int, article: int, other: int):
         self.name, self.path, self.article, self.other = name, path, article, other
+        self.children: dict[tuple[str, str], Node] = {}
+
+    def child(self, name: str, attributes: str) -> Node:
+        found = self.children.get((name, attributes))
+        if found is None:
+            if next(_made) % REMEMBERED == 0:
+                _top.children.clear()
+            found = self.children[name, attributes] = _child(self, name, attributes)
+        return found
 
 
 def _is_other(name: str, attributes: str, inside: int) -> int:
@@ -109,10 +122,17 @@ def _hash(parent: int, kind: str) -> int:
     return xxhash.xxh64_intdigest(kind.encode("utf-8", "surrogatepass"), parent & (2**64 - 1))
 
 
-def parse(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
-    """Events of a page: ("open" | "close", token, element, "") and ("text", token, element, text), in page order. Tokens are 64-bit hashes
-    of the path of tag names (even), and of the text where there is one (odd)."""
-    stack = [Node("", 0, 0, 0)]
+_top, _made = Node("", 0, 0, 0), count(1)
+
+
+def text_token(node: Node, text: str) -> int:
+    """The token of a text in an element: odd, where those of tags are even."""
+    return _hash(node.path, "#" + " ".join(text.split())) | 1
+
+
+def parse(page: str | None) -> Iterator[tuple[str, Node, str]]:
+    """Events of a page: ("open" | "close", element, "") and ("text", element, text), in page order. An element's token is its path."""
+    stack = [_top]
     raw, at, page = None, 0, page or ""
     while at < len(page):
         if raw:
@@ -124,32 +144,32 @@ def parse(page: str | None) -> Iterator[tuple[str, int, Node, str]]:
         if m[2] is None:
             if page[m.start()] != "<" or m.end() == m.start() + 1:
                 text = m[0]
-                yield "text", _hash(stack[-1].path, "#" + _space.sub(" ", text).strip()) | 1, stack[-1], text
+                yield "text", stack[-1], text
             continue
         name = m[2].lower()
         if m[1]:
             k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
             for node in reversed(stack[k:] if k else []):
-                yield "close", node.path, node, ""
+                yield "close", node, ""
             del stack[k or len(stack) :]
             continue
         groups = SAME.get(name, ())
         while len(stack) > 1 and (stack[-1].name in groups or name in CLOSES_P and _closes(stack)):
             top = stack.pop()
-            yield "close", top.path, top, ""
+            yield "close", top, ""
         while name == "body" and len(stack) > 1 and stack[-1].name != "html":  # an unclosed head
             top = stack.pop()
-            yield "close", top.path, top, ""
-        node = _child(stack[-1], name, m[3])
-        yield "open", node.path, node, ""
+            yield "close", top, ""
+        node = stack[-1].child(name, m[3])
+        yield "open", node, ""
         if name in VOID or m[3].endswith("/"):
-            yield "close", node.path, node, ""
+            yield "close", node, ""
         else:
             stack.append(node)
             raw = name if name in RAW else None
     while len(stack) > 1:
         node = stack.pop()
-        yield "close", node.path, node, ""
+        yield "close", node, ""
 
 
 def _closes(stack: list[Node]) -> bool:
@@ -183,13 +203,14 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, 512):
         found: dict[tuple[str, int], list[int]] = {}
         for host, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            tokens = Counter(token for kind, token, _, text in parse(page) if kind == "open" or kind == "text" and not text.isspace())
+            tokens = Counter(node.path if kind == "open" else text_token(node, text) for kind, node, text in parse(page) if kind == "open" or kind == "text" and not text.isspace())
             tokens[0] = 1
-            seed = _key(page)
+            seed, mixes = _key(page), {}
             for token, n in tokens.items():
-                mix = xxhash.xxh64_intdigest(b"%d %d" % (seed, n))
+                if n not in mixes:
+                    mixes[n] = xxhash.xxh64_intdigest(b"%d %d" % (seed, n))
                 entry = found.setdefault((host, token), [0, 0])
-                entry[0] = (entry[0] + mix) & (2**64 - 1)
+                entry[0] = (entry[0] + mixes[n]) & (2**64 - 1)
                 entry[1] += 1
         hosts = pa.array([h for h, _ in found], pa.string())
         columns = [np.array([t for _, t in found], np.uint64).view(np.int64), np.array([v[0] for v in found.values()], np.uint64).view(np.int64), np.array([v[1] for v in found.values()], np.int64)]
@@ -207,9 +228,10 @@ def structure(page: str | None, classes: dict[int, int], sizes: dict[int, int])
     seen: Counter[int] = Counter()
     crossed: set[tuple[int, int]] = set()
     data, inside = False, []  # classes with an instance begun and not ended, innermost last
-    for kind, token, node, text in parse(page):
+    for kind, node, text in parse(page):
         if kind == "text" and text.isspace():
             continue
+        token = text_token(node, text) if kind == "text" else node.path
         c = classes.get(token)
         if c is None:
             data = data or kind == "text" and not node.other
@@ -295,12 +317,14 @@ def templates(pages: DataFrame, support: float = SUPPORT, least_pages: int = LEA
 def main_text(page: str | None, outside: frozenset[int] | set[int] = frozenset(), inside: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text of one page. outside and inside: the tokens that are its host's template outside and inside article and main elements."""
     events = list(parse(page))
-    in_article = any(node.article and not node.other for kind, _, node, _ in events if kind == "open")
+    in_article = any(node.article and not node.other for kind, node, _ in events if kind == "open")
     blocks: list[list[str]] = [[]]
-    for kind, token, node, text in events:
+    for kind, node, text in events:
         if kind == "text":
-            if not node.other and (node.article or not in_article) and token not in (inside if node.article else outside):
-                blocks[-1].append(text)
+            if not node.other and (node.article or not in_article):
+                template = inside if node.article else outside
+                if not template or text_token(node, text) not in template:
+                    blocks[-1].append(text)
         elif node.name not in INLINE:
             if blocks[-1]:
                 blocks.append([])

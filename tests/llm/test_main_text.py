@@ -106,7 +106,7 @@ def test_classes_are_ordered_and_nested(spark):
     found = {r.page_id: r.text for r in h.extract(pages).collect()}
     assert found == {i: ("one\ntwo" if i % 2 else "two\none") + f"\nown {i}" for i in range(20)}
     page = "<p>a</p><i>b</i><p>c</p><i>d</i>"
-    p, a, i, b, c, d = (next(t for k, t, n, x in h.parse(page) if (k, x or n.name) == w) for w in [("open", "p"), ("text", "a"), ("open", "i"), ("text", "b"), ("text", "c"), ("text", "d")])
+    p, a, i, b, c, d = (next(h.text_token(n, x) if x else n.path for k, n, x in h.parse(page) if (k, x or n.name) == w) for w in [("open", "p"), ("text", "a"), ("open", "i"), ("text", "b"), ("text", "c"), ("text", "d")])
     ranks, crossed, data = h.structure(page, {a: 1, c: 1, b: 2, d: 2}, {1: 2, 2: 2})
     assert ranks == {(a, 0): 0, (c, 0): 1, (b, 0): 0, (d, 0): 1} and crossed == {(1, 2)} and not data
     assert set(h.nested([(2, 1), (3, 1), (5, 1), (4, 2), (7, 2)], [(1, 2)])) == {1}
@@ -140,9 +140,9 @@ def brute_template(pages):
     """Texts that are the template's by the definition, from whole occurrence vectors: equal to that of a tag, and on all pages."""
     vectors = {}
     for i, page in enumerate(pages):
-        for kind, token, _, text in h.parse(page):
+        for kind, node, text in h.parse(page):
             if kind == "open" or kind == "text" and not text.isspace():
-                vectors.setdefault((kind, token, text), [0] * len(pages))[i] += 1
+                vectors.setdefault((kind, node.path, text), [0] * len(pages))[i] += 1
     tags = {tuple(v) for (kind, *_), v in vectors.items() if kind == "open"}
     return {text for (kind, _, text), v in vectors.items() if kind == "text" and tuple(v) in tags and all(v)}
 
@@ -160,7 +160,7 @@ def test_templates_without_articles_are_the_brute_ones(spark):
     assert set(labels) <= gone and "Part" in gone and "story 1" not in gone
     found = {r.page_id: r.text.split("\n") for r in h.extract(site(spark, 13, page)).collect()}
     for i, text in found.items():
-        parts = [t for k, _, _, t in h.parse(pages[i]) if k == "text" and t not in gone]
+        parts = [t for k, _, t in h.parse(pages[i]) if k == "text" and t not in gone]
         assert [w for x in text for w in x.split()] == [w for x in parts for w in x.split()]
     bare = [h.main_text(p) for p in pages]
     assert all("Home" in b for b in bare) and not any("Home" in t for t in found.values())
