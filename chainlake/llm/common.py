@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Collection, Iterator
+from collections.abc import Collection, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 _own: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
+#: Bits of a piece of a bitmap, as bitmap_construct_agg makes them, and of all pieces.
+PIECE, MOST_BITS = 1 << 15, 1 << 26
+
 #: Sorts after every real id; stands for a null one inside the operators.
 NO_ID = 2**63 - 1
 
@@ -73,6 +76,23 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def split_by(df: DataFrame, keys: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of df that may have one of the keys, all that do among them, and the rest. By a bitmap of hash bits, 32 for each key up to MOST_BITS,
+    beyond which more and more of the others pass too; its 4 kB pieces, 8 MB at most, are broadcast. So whole texts need not be
+    shuffled to find the few rows that a table of keys is about; df is scanned for each of the two."""
+    n = keys.count()
+    bits = min(MOST_BITS, max(PIECE, 1 << (32 * max(n, 1) - 1).bit_length()))
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by]), F.lit(bits))
+    piece, bitmap = unused(df.columns, "piece", "bitmap")
+    pieces = keys.select(place.alias("at")).groupBy(F.floor(F.col("at") / PIECE).alias(piece)).agg(F.bitmap_construct_agg(F.col("at") % PIECE).alias(bitmap))
+    pieces = saved(pieces, "bitmap")
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(place % PIECE / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    placed = df.withColumn(piece, F.floor(place / PIECE)).join(F.broadcast(pieces), piece, "left")
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return placed.where(may).select(*own), placed.where(~may).select(*own)
+
+
 def filesystem(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import read, row_id, saved, unused
+from chainlake.llm.common import read, row_id, saved, split_by, unused
 
 MIN_WORDS = 50
 _BLANK = " \t\r\f\v"
@@ -99,34 +99,35 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     return saved(later.groupBy(*KEY).agg(F.collect_list(F.struct("s", "n")).alias("runs")), "later")
 
 
-def _without(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.DataFrame:
-    out, gone = [], []
-    for text, ss, ns in zip(texts, starts, counts, strict=True):
-        drop = {j for s, n in zip(ss, ns, strict=True) for j in range(s, s + n)} if ss is not None else ()
-        if drop:
-            j, kept = 0, []
-            for line in text.split("\n"):
-                if line.strip(_BLANK):
-                    if j not in drop:
-                        kept.append(line)
-                    j += 1
-                else:
-                    kept.append(line)
-            text = "\n".join(kept)
-        out.append(text)
-        gone.append(len(drop))
-    return pd.DataFrame({"text": pd.Series(out, dtype=object), "deleted": pd.Series(gone, dtype="int32")})
+def _blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(_BLANK)) == ""
+
+
+def without(text: Column, gone: Column) -> Column:
+    """The text without its lines at the places `gone`, lines with a word counted from 0."""
+
+    def left(lines: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(lines) - 1)
+        counted = F.filter(every, lambda i: ~_blank(F.get(lines, i)))
+        stay = lambda c: F.array_except(every, F.transform(gone, lambda j: F.get(c, j)))
+        return F.array_join(F.transform(F.transform(F.array(counted), stay)[0], lambda i: F.get(lines, i)), "\n")
+
+    return F.transform(F.array(F.split(text, "\n")), left)[0]
 
 
 def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns, text without its later copies, and as the last column the number of lines that went: `deleted`, or with "_" added where
     the documents have such a column."""
-    i, r, later, new, deleted = unused(documents.columns, "id", "raw", "runs", "new", "deleted")
+    i, r, later, deleted = unused(documents.columns, "id", "raw", "runs", "deleted")
     found = repeated_runs(documents, min_words).select(F.col("id").alias(i), F.col("raw").alias(r), F.col("runs").alias(later))
-    joined = documents.withColumns({i: row_id(), r: _raw()}).join(found.hint("merge"), [i, r], "left")  # runs grow with the corpus: the same plan at every size
-    without = F.pandas_udf(_without, "text string, deleted int").asNondeterministic()
-    cleaned = joined.withColumn(new, without("text", F.col(later)["s"], F.col(later)["n"]))
-    return cleaned.select(*[F.col(new)["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns], F.col(new)["deleted"].alias(deleted))
+    own = [F.col(f"`{c}`") for c in documents.columns]
+    changing, rest = split_by(documents.withColumns({i: row_id(), r: _raw()}), found, [i, r])
+    joined = changing.join(found.hint("merge"), [i, r], "left")  # runs grow with the corpus: the same plan at every size
+    gone = F.array_distinct(F.flatten(F.transform(later, lambda w: F.sequence(w["s"], w["s"] + w["n"] - 1))))
+    cleaned = joined.withColumn(later, F.coalesce(gone, F.array().cast("array<int>")))
+    text = F.when(F.size(later) > 0, without(F.col("text"), F.col(later))).otherwise(F.col("text")).alias("text")
+    cleaned = cleaned.select(*[text if c == "text" else x for c, x in zip(documents.columns, own, strict=True)], F.size(later).alias(deleted))
+    return cleaned.unionByName(rest.select(*own, F.lit(0).alias(deleted)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
