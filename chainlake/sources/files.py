@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +25,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def discover(spark: SparkSession, root: str) -> list[str]:
-    """All Parquet files under root, sorted; none that is hidden ("." or "_") or under a hidden folder, none if there is no root."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
+    """All Parquet files under root, sorted; none that is hidden ("." or "_") or under a hidden folder, none if there is no root. Spark lists them, with
+    tasks where there are many folders; of a folder that a stream writes, only files of finished batches."""
+    if not exists(spark, root):
         return []
-    base, found, todo = fs.makeQualified(p), [], [p]
-    while todo:
-        for s in fs.listStatus(todo.pop()):
-            name = s.getPath().getName()
-            if not name.startswith((".", "_")):
-                if s.isDirectory():
-                    todo.append(s.getPath())
-                elif name.endswith(".parquet"):
-                    found.append(s.getPath().toString())
-    return sorted(found, key=lambda x: x.removeprefix(base.toString()))
+    fs, p = _fs(spark, root)
+    base = fs.makeQualified(p).toString()
+    found = spark.read.schema("none string").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root).inputFiles()
+    return sorted(map(unquote, found), key=lambda x: _plain(x).removeprefix(_plain(base)))
+
+
+def _plain(path: str) -> str:
+    """A local file's path without its scheme."""
+    return path.removeprefix("file://") if path.startswith("file:///") else path.removeprefix("file:")
 
 
 def scan(spark: SparkSession, files: str | list[str], root: str | None = None) -> DataFrame:
@@ -76,9 +76,7 @@ def save_manifest(spark: SparkSession, path: str, files: Iterable[str]) -> None:
 
 def manifest_entry(file: str, root: str) -> str:
     """A file's name in the manifest: below root if it is there, else its whole path."""
-    plain = lambda x: x.removeprefix("file://").replace("file:/", "/")
-    f, r = plain(file), plain(root).rstrip("/") + "/"
-    return f.removeprefix(r)
+    return _plain(file).removeprefix(_plain(root).rstrip("/") + "/")
 
 
 def unprocessed(files: Iterable[str], processed: set[str], root: str) -> list[str]:

@@ -45,11 +45,11 @@ def test_compatible_and_ids(spark):
 
 def test_discovery_and_manifest(spark, tmp_path):
     root = tmp_path / "bronze"
-    for name in ("b/part-2.parquet", "a/part-1.parquet", "a/.hidden.parquet", "_temporary/part-3.parquet", "a/notes.txt"):
+    for name in ("b/part-2.parquet", "a/part-1.parquet", "a/.hidden.parquet", "_temporary/part-3.parquet", "a/notes.txt", "c=x%3Ay/d e/part-0.parquet"):
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_text("")
     found = files.discover(spark, str(root))
-    assert [f.rsplit("bronze/", 1)[1] for f in found] == ["a/part-1.parquet", "b/part-2.parquet"]
+    assert [f.rsplit("bronze/", 1)[1] for f in found] == ["a/part-1.parquet", "b/part-2.parquet", "c=x%3Ay/d e/part-0.parquet"]
     assert files.discover(spark, str(tmp_path / "none")) == []
     path = str(tmp_path / "manifest.json")
     assert files.load_manifest(spark, path) == set()
