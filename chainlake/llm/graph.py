@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from chainlake.llm.common import saved
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m): the least neighbour of each u, written, so that the join shuffles for itself and can split the edges of a hub at run time."""
+    return saved(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+    return both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u > v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(down)
     joined = down.join(least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -32,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = saved(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = _state(edges)
     while state[0]:
-        edges = saved(_small_star(_large_star(edges)), "star")
+        edges = saved(_small_star(saved(_large_star(edges), "large")), "star")
         was, state = state, _state(edges)
         if was == state:
             break
