@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import NO_ID, read, row_id, saved, slices, unused
+from chainlake.llm.common import NO_ID, read, row_id, saved, slices, split_by, unused
 from chainlake.llm.graph import components
 
 WORDS = 5
@@ -371,10 +371,11 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     gone = saved(rows.select("id", "raw").join(heads, ["id", "raw"], "left_anti").distinct(), "gone")
     i, r = unused(documents.columns, "id", "raw")
     keyed = documents.withColumns({i: row_id(), r: F.xxhash64(F.coalesce(F.col("text"), F.lit("")))})
-    kept = keyed.join(gone.select(F.col("id").alias(i), F.col("raw").alias(r)).hint("merge"), [i, r], "left_anti")
-    if not rows.groupBy("id", "raw").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([i, r])
-    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])
+    again = rows.groupBy("id", "raw").count().where("count > 1").select("id", "raw")  # one of repeated rows stays
+    touched = saved(gone.union(again).distinct().select(F.col("id").alias(i), F.col("raw").alias(r)), "touched")
+    may, rest = split_by(keyed, touched, [i, r])
+    kept = may.join(gone.select(F.col("id").alias(i), F.col("raw").alias(r)).hint("merge"), [i, r], "left_anti").dropDuplicates([i, r])
+    return kept.unionByName(rest).select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
