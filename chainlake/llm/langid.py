@@ -32,7 +32,7 @@ MAX_LANGUAGES = 4096
 MIN_SCORE = 0.02
 #: Least scores are learned from so many labelled texts or more, by language and LENGTHS classes of length, and lie half-way from what
 #: texts get by other languages' profiles (the median) to what all but LOW of them get by their own.
-LEAST_TEXTS, LENGTHS, LOW = 100, 3, 0.02
+LEAST_TEXTS, LENGTHS, LOW = 100, 3, 0.005
 
 _alpha: np.ndarray | None = None
 
