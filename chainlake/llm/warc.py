@@ -1,6 +1,6 @@
 """Legacy archives: ARC files read by their version's header line and declared lengths, and written on as WARC.
 
-`arc_rows` makes ARC files of pages, `read_arc` parses versions 1 and 2, `to_warc` synthesises WARC/1.1 records (identifiers,
+`arc_rows` makes ARC files of pages, of version 1 and 2 by turns, `read_arc` parses both, `to_warc` synthesises WARC/1.1 records (identifiers,
 dates, types, digests), `read_warc` parses them. Archives are written by Spark's text writer, whose line separator is the
 archive's record end (a string column holds any bytes), gzipped, into the shared folder, so its commit protocol covers lost and repeated
 tasks; they are read through binaryFile, so any store will do.
@@ -11,9 +11,12 @@ without a payload that refer to it. Digests are aggregated before the shuffle, s
 Identifiers are UUIDs of the page id, address, date and payload digest: the same archive converts to the same identifiers again.
 Lines of the ARC file that break its grammar, or lengths beyond its end, raise ValueError with the place.
 
+Files are bounded by bytes: records are written by class of length, the longer the fewer to a file (SIZES), so a file and its reader hold about 32 MB
+at most, or a single record that is longer by itself.
+
 Defined cases: null html is an empty payload; a null or empty address is written as "-" and read back as null; white space in addresses is
 percent-encoded; a null page id is "-" and sorts last; rows that share the smallest page id and the payload all are responses; an empty
-table gives empty archives. Files hold at most `records` records, so a reader's memory follows the longest payloads.
+table gives empty archives; pages of up to the 2 GB that Spark holds in a value are read and written whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,17 +26,20 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import NO_ID, read, saved, scratch_path, slices
+from chainlake.llm.common import NO_ID, filesystem, read, saved, scratch_path, slices
 
-RECORDS = 512
+#: Classes of records by their most bytes, None for any, and how many go to a file.
+SIZES = ((1 << 14, 2048), (1 << 17, 256), (1 << 23, 4), (None, 1))
+#: The header of a response that holds its page's id, as version 1 has no field for it.
+PAGE_HEADER = b"X-Page-ID: "
 #: Fixed values of the formats: the field lists that an ARC file's version block declares.
 V1_FIELDS = "URL IP-address Archive-date Content-type Archive-length"
 V2_FIELDS = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
@@ -98,8 +104,9 @@ def version_block(name: str, version: int = 2, date: str = CAPTURED) -> bytes:
     return " ".join([*head, str(len(block))]).encode() + b"\n" + block
 
 
-def http_response(payload: bytes, content_type: str = "text/html; charset=utf-8") -> bytes:
-    return f"HTTP/1.1 200 OK\r\nContent-Type: {content_type}\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
+def http_response(payload: bytes, content_type: str = "text/html; charset=utf-8", page_id: int | None = None) -> bytes:
+    page = b"" if page_id is None else PAGE_HEADER + b"%d\r\n" % page_id
+    return f"HTTP/1.1 200 OK\r\nContent-Type: {content_type}\r\nContent-Length: {len(payload)}\r\n".encode() + page + b"\r\n" + payload
 
 
 def split_http(block: bytes) -> tuple[bytes, bytes]:
@@ -171,49 +178,67 @@ def unpacked(data: bytes) -> bytes:
     return b"".join(parts)
 
 
-def _write(rows: DataFrame, path: str, end: str, records: int) -> None:
-    rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records).text(path)
+def _write(rows: DataFrame, length: Column, longest: int | None, make: Callable[[DataFrame, int], DataFrame], path: str, end: str, sizes: Sequence[tuple[int | None, int]], more: int = 0) -> None:
+    """Archives of the records that make gives for rows, a folder for each class of lengths that there is; `more` records of a file are not rows'."""
+    least = -1
+    for k, (most, records) in enumerate(sizes):
+        if k == 0 or (longest or 0) > least:
+            own = rows if k == 0 and (most is None or (longest or 0) <= most) else rows.where((length > least) & (length <= most) if most is not None else length > least)
+            text = make(own, records).select(F.col("record").cast("string").alias("value"))
+            text.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records + more).text(f"{path}/{k}")
+        if most is None:
+            break
+        least = most
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
-def arc_rows(pages: DataFrame, path: str, records: int = RECORDS, date: str = CAPTURED) -> None:
-    """Write pages(page_id, url, html) as ARC files of version 2, the page id in the Filename field."""
+def arc_rows(pages: DataFrame, path: str, sizes: Sequence[tuple[int | None, int]] = SIZES, date: str = CAPTURED) -> None:
+    """Write pages(page_id, url, html) as ARC files, of version 1 and 2 by turns. The page id is in a header of the response, in version 2 in the Filename
+    field too."""
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
-        for b in slices(batches):
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if n % (records - 1) == 0:  # each file starts with its version block
-                    out.append(version_block(f"pages-{n}.arc", 2, date))
-                n += 1
-                payload = (html or "").encode("utf-8", "surrogatepass")
-                body = http_response(payload)
-                url = re.sub(r"[\s\x00-\x1f]", lambda m: "".join(f"%{x:02X}" for x in m.group().encode()), url or "-")
-                out.append(f"{url} 0.0.0.0 {date} text/html 200 {digest(payload)} - 0 {'-' if page_id is None else page_id} {len(body)}\n".encode() + body)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+    def archives(rows: DataFrame, records: int) -> DataFrame:
+        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = 0
+            for b in slices(batches):
+                out = []
+                for page_id, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    version = 1 + n // records % 2
+                    if n % records == 0:  # each file starts with its version block
+                        out.append(version_block(f"pages-{n}.arc", version, date))
+                    n += 1
+                    payload = (html or "").encode("utf-8", "surrogatepass")
+                    body = http_response(payload, page_id=page_id)
+                    url = re.sub(r"[\s\x00-\x1f]", lambda m: "".join(f"%{x:02X}" for x in m.group().encode()), url or "-")
+                    own = f"200 {digest(payload)} - 0 {'-' if page_id is None else page_id} " if version == 2 else ""
+                    out.append(f"{url} 0.0.0.0 {date} text/html {own}{len(body)}\n".encode() + body)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+
+        return rows.mapInArrow(make, "record binary")
 
-    _write(pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(make, "record binary"), path, "\n", records)
+    rows, length = pages.select(F.col("page_id").cast("long"), "url", "html"), F.coalesce(F.octet_length("html"), F.lit(0))
+    _write(rows, length, rows.agg(F.max(length)).first()[0], archives, path, "\n", sizes, 1)
 
 
-def _page(record: ArcRecord) -> int:
-    name = record.fields.get("Filename", "-")
-    return int(name) if name.lstrip("-").isdigit() else NO_ID
+def _page(record: ArcRecord, head: bytes) -> int:
+    """The page id of the Filename field, or else of the response's headers."""
+    name = record.fields.get("Filename", "").encode() or next((x[len(PAGE_HEADER) :] for x in head.split(b"\r\n") if x.startswith(PAGE_HEADER)), b"")
+    return int(name) if name.lstrip(b"-").isdigit() else NO_ID
 
 
-def to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0, records: int = RECORDS) -> None:
+def to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int = 0, sizes: Sequence[tuple[int | None, int]] = SIZES) -> None:
     """Convert all ARC files under arc_path."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
-            found = [(_page(r), r.url, r.date, split_http(r.body)[1]) for data in b.column(0).to_pylist() for r in parse_arc(unpacked(data))]
-            columns = [(pa.int64(), [x[0] for x in found]), (pa.string(), [x[1] for x in found]), (pa.string(), [x[2] for x in found]), (pa.int64(), [len(x[3]) for x in found]), (pa.binary(), [hashlib.sha1(x[3]).digest() for x in found])]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for t, v in columns], ["page_id", "url", "date", "bytes", "sha"])
+            found = [(_page(r, head), r.url, r.date, len(payload), hashlib.sha1(payload).digest()) for data in b.column(0).to_pylist() for r in parse_arc(unpacked(data)) for head, payload in [split_http(r.body)]]
+            types = pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate(types)], ["page_id", "url", "date", "bytes", "sha"])
 
-    found = saved(_files(spark, arc_path).mapInArrow(digests, "page_id long, url string, date string, bytes long, sha binary"), "digests").where(F.col("bytes") >= least_bytes)
+    every = saved(_files(spark, arc_path).mapInArrow(digests, "page_id long, url string, date string, bytes long, sha binary"), "digests")
+    found = every.where(F.col("bytes") >= least_bytes)
     first = found.groupBy("sha", "bytes").agg(F.min(F.struct("page_id", "url", "date")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     revisits = saved(found.join(first, ["sha", "bytes"]).where("page_id > first.page_id").select("page_id", "sha", "first").distinct(), "revisits")
 
@@ -222,17 +247,27 @@ def to_warc(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
             rows = []
             for data in b.column(0).to_pylist():
                 for r in parse_arc(unpacked(data)):
-                    rows.append((_page(r), hashlib.sha1(split_http(r.body)[1]).digest(), r.url, r.ip, r.date, r.content_type, r.body))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate([pa.int64(), pa.binary(), *[pa.string()] * 4, pa.binary()])], ["page_id", "sha", "url", "ip", "date", "type", "body"])
+                    head, payload = split_http(r.body)
+                    rows.append((_page(r, head), hashlib.sha1(payload).digest(), r.url, r.ip, r.date, r.content_type, r.body, len(payload)))
+            types = pa.int64(), pa.binary(), *[pa.string()] * 4, pa.binary(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(types)], ["page_id", "sha", "url", "ip", "date", "type", "body", "bytes"])
 
     def warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            rows = zip(*(c.to_pylist() for c in b.columns), strict=True)
+            rows = zip(*(c.to_pylist() for c in b.columns[:-1]), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array([warc_record(ArcRecord(url, ip, date, kind, {}, body), page, first) for page, first, url, ip, date, kind, body in rows], pa.binary())], ["record"])
 
-    rows = _files(spark, arc_path).mapInArrow(records_of, "page_id long, sha binary, url string, ip string, date string, type string, body binary")
-    rows = rows.join(revisits, ["page_id", "sha"], "left").select("page_id", "first", "url", "ip", "date", "type", "body")
-    _write(rows.mapInArrow(warc, "record binary"), warc_path, "\r\n\r\n", records)
+    def convert(path: str, sizes: Sequence[tuple[int | None, int]], out: str) -> None:
+        rows = _files(spark, path).mapInArrow(records_of, "page_id long, sha binary, url string, ip string, date string, type string, body binary, bytes long")
+        rows = rows.join(revisits, ["page_id", "sha"], "left").select("page_id", "first", "url", "ip", "date", "type", "body", "bytes")
+        longest = every.agg(F.max("bytes")).first()[0]
+        _write(rows, F.when(F.col("first").isNull(), F.col("bytes")).otherwise(0), longest, lambda own, _: own.mapInArrow(warc, "record binary"), out, "\r\n\r\n", sizes)
+
+    own = [k for k in range(len(sizes)) if (at := filesystem(spark, f"{arc_path}/{k}"))[0].exists(at[1])]
+    for k in own:  # archives of arc_rows have their classes already
+        convert(f"{arc_path}/{k}", ((None, sizes[k][1]),), f"{warc_path}/{k}")
+    if not own:
+        convert(arc_path, sizes, warc_path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -51,10 +52,13 @@ def test_broken_warc():
     assert warc.iso("2024") == "1970-01-01T00:00:00Z" and warc.iso("20240102") == "2024-01-02T00:00:00Z"
 
 
-def round_trip(spark, pages, least=0, records=4):
+SMALL = ((100, 4), (2000, 2), (None, 1))
+
+
+def round_trip(spark, pages, least=0, sizes=SMALL):
     arc, out = common.scratch_path(spark, "arc"), common.scratch_path(spark, "warc")
-    warc.arc_rows(pages, arc, records)
-    warc.to_warc(spark, arc, out, least, records)
+    warc.arc_rows(pages, arc, sizes)
+    warc.to_warc(spark, arc, out, least, sizes)
     return warc.read_warc(spark, out)
 
 
@@ -79,3 +83,35 @@ def test_oracle(spark):
     duckdb.sql("CREATE OR REPLACE VIEW pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
     want = duckdb.sql(f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({warc.ORACLE_SQL})").fetchall()
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in warc.query(spark, "/root/testdata/sf0.001").collect())
+
+
+def test_files_are_bounded_by_bytes(spark):
+    """Both versions of ARC, every page in a file of its class of length, long ones by themselves; all pages come back."""
+    rng = random.Random(1)
+    rows = [(i, f"http://a/{i}", "".join(rng.choice("abcdef") for _ in range(n))) for i, n in enumerate([10] * 40 + [1500] * 9 + [40_000, 3_000_000])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    arc, out = common.scratch_path(spark, "arc"), common.scratch_path(spark, "warc")
+    warc.arc_rows(pages, arc, SMALL)
+    versions, sizes = set(), []
+    for r in warc._files(spark, arc).collect():
+        if not (data := warc.unpacked(bytes(r.content))):
+            continue  # of a task without rows
+        versions.add(data.split(b"\n")[1][:1])
+        sizes.append(sorted(len(warc.split_http(x.body)[1]) for x in warc.parse_arc(data)))
+    assert versions == {b"1", b"2"} and sum(map(len, sizes)) == 51
+    assert all(len(x) <= 4 and (x[-1] <= 100 or len(x) <= 2 and x[0] > 100 and (x[-1] <= 2000 or len(x) == 1)) for x in sizes if x)
+    warc.to_warc(spark, arc, out, sizes=SMALL)
+    files = [[len(block) for _, block in warc.parse_warc(warc.unpacked(bytes(r.content)))] for r in warc._files(spark, out).collect()]
+    assert all(len(x) <= 4 and (len(x) == 1 or max(x) < 2200) for x in files if x)
+    assert {(r.page_id, r.payload_bytes) for r in warc.read_warc(spark, out).collect()} == {(i, len(h)) for i, _, h in rows}
+
+
+def test_archives_of_others(spark, tmp_path):
+    """A folder of ARC files of both versions, of records of any length, that this library has not written."""
+    bodies = [(f"http://a/{n}", warc.http_response(b"x" * n, page_id=n)) for n in (5, 50, 1500, 90_000)]
+    (tmp_path / "part-1.arc").write_bytes(arc_file(1, bodies))
+    (tmp_path / "part-2.arc.gz").write_bytes(gzip.compress(arc_file(2, [("http://b/", b"plain " * 30)])))
+    out = common.scratch_path(spark, "warc")
+    warc.to_warc(spark, f"file://{tmp_path}", out, sizes=SMALL)
+    found = warc.read_warc(spark, out).collect()
+    assert {(r.page_id, r.payload_bytes, r.record_type) for r in found} == {(5, 5, "response"), (50, 50, "response"), (1500, 1500, "response"), (90_000, 90_000, "response"), (None, 180, "resource")}
