@@ -16,6 +16,8 @@ CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
+#: Rows and bytes of the batches that Python workers get: texts are long, and a worker and its executor hold several batches at once.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 
 _shipped: set[str] = set()
@@ -30,7 +32,11 @@ def create_session(app_name: str = "chainlake", kafka: bool = False, **conf: str
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once an application, so that they can import it."""
+    """Send this package's source to the executors, once an application, so that they can import it; and make batches for Python small, where the
+    session has Spark's defaults."""
+    for key, (default, own) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, own)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
