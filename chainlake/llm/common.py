@@ -99,11 +99,16 @@ def filesystem(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to a few rows each, so that a worker's memory follows the longest texts, not the batch."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to so many rows and about so many bytes, or a single row, so that a worker's memory follows the longest text, not the batch."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        todo = [b.slice(at, rows) for at in reversed(range(0, b.num_rows, rows))]
+        while todo:
+            x = todo.pop()
+            if x.num_rows > 1 and x.nbytes > most:
+                todo += [x.slice(x.num_rows // 2), x.slice(0, x.num_rows // 2)]
+            else:
+                yield x
 
 
 def row_id(col: str = "doc_id") -> F.Column:

@@ -76,7 +76,7 @@ def _powers_to(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
-            _powers[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, base, np.uint64)]))
+            _powers[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n + n // 8, base, np.uint64)]))
     return _powers
 
 

@@ -16,6 +16,9 @@ def test_scratch_tables_are_swept(spark):
 def test_slices():
     batch = pa.RecordBatch.from_pydict({"a": list(range(10))})
     assert [b.num_rows for b in common.slices(iter([batch, batch.slice(0, 0)]), 4)] == [4, 4, 2]
+    batch = pa.RecordBatch.from_pydict({"t": ["x" * (2000 if i == 3 else 10) for i in range(10)], "i": list(range(10))})
+    cut = list(common.slices(iter([batch]), 8, 500))
+    assert [r for b in cut for r in b.column("i").to_pylist()] == list(range(10)) and [b.num_rows for b in cut if b.nbytes > 500] == [1] and len(cut) < 6
 
 
 def test_rows_are_split_by_keys(spark, monkeypatch):
