@@ -69,8 +69,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     value = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"payload":'), payload, F.lit("}"))
-    keyed = d.withColumn("kind", kind).select(owner.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"), "timestamp")
-    return kafka.as_records(keyed.select("key", "value", "timestamp"))
+    return kafka.as_records(d.withColumn("kind", kind).select(owner.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"), "timestamp"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,12 +398,13 @@ def old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compatible(raw.withColumn("event_id", event_id()), ["event_id", "hex_user", "number", "producer_version", "bronze_file", "silver_processed_at"])
 
 
-@query("""
-SELECT 'f-' || CAST(event_id AS VARCHAR) AS file FROM events WHERE event_id % 6 <> 0 AND event_id < 600""")
+@query("SELECT DISTINCT 'event_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) || '/part-0.parquet' AS file FROM events WHERE day(ts) % 6 <> 0")
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that a saved manifest does not list yet, saved twice and loaded again."""
-    path = f"{_scratch(spark, 'manifest')}/processed_files.json"
-    found = [f"f-{r.event_id}" for r in _table(spark, sf_dir, "events").where("event_id < 600").select("event_id").collect()]
-    files.save_manifest(spark, path, found[:3])
-    files.save_manifest(spark, path, [f for f in found if int(f[2:]) % 6 == 0])
-    return spark.createDataFrame([(f,) for f in files.unprocessed(found, files.load_manifest(spark, path), "/data")], "file string")
+    """A file for each day; those that a saved manifest, replaced once and loaded again, does not list yet."""
+    root = _scratch(spark, "manifest")
+    days = [r.day for r in _table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct().collect()]
+    found = {f"{root}/event_date={d}/part-0.parquet": d for d in sorted(days)}
+    for done in (list(found)[:3], [f for f, d in found.items() if d.day % 6 == 0]):
+        files.save_manifest(spark, f"{root}.json", [files.manifest_entry(f, root) for f in done])
+    left = files.unprocessed(found, files.load_manifest(spark, f"{root}.json"), root)
+    return spark.createDataFrame([(files.manifest_entry(f, root),) for f in left], "file string")
