@@ -57,8 +57,6 @@ POOL = 1 << 16
 MISS = 1e-4
 #: Pairs that a task verifies; on so many that there would be more tasks than WAVES for each core, they take more.
 PAIRS, WAVES = 2000, 32
-#: Up to so many texts to verify, their keys are sent to the scan; more are joined by a shuffle.
-FEW_KEYS = 50_000
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -258,9 +256,9 @@ def _ordered(a: str, b: str) -> list[F.Column]:
 
 
 def _texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of nodes(node, id, raw), written; one row a node."""
-    few = nodes.count() <= FEW_KEYS
-    return saved(docs.join(F.broadcast(nodes) if few else nodes, ["id", "raw"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    """(node, text) of nodes(node, id, raw), written; one row a node. Only texts that may be wanted are joined, so the plan is the same at every size."""
+    may, _ = split_by(docs, nodes, ["id", "raw"])
+    return saved(may.join(nodes, ["id", "raw"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
